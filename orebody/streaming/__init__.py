@@ -1,0 +1 @@
+"""Kept for stream plans: feature mining as specified works on finished tables only and has none."""
