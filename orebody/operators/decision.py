@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orebody.config import EnginePaths, SelectionConfig
 from orebody.operators import filters, univariate
 from orebody.sources import io
+from orebody.sources.shared import checkpoint
 
 
 def decide(scorecard: DataFrame, config: SelectionConfig = SelectionConfig(), stability: DataFrame | None = None) -> DataFrame:
@@ -69,6 +70,7 @@ class SelectionResult:
 def select_features(df: DataFrame, key: str, target: str, config: SelectionConfig = SelectionConfig(), paths: EnginePaths | None = None, stability: DataFrame | None = None) -> SelectionResult:
     """Filters, scores and decides; writes matrix, tables, summary and report if paths are given."""
     df = df.filter(F.col(target).isNotNull())
+    df = checkpoint(df)
     filtered = filters.basic_filters(df, key, target, config.missing_threshold, config.corr_threshold)
     card = decide(univariate.evaluate(filtered.matrix, key, target, filtered.kept, config.topk_ratio), config, stability)
     card = card.sparkSession.createDataFrame(card.collect(), card.schema)  # a row a feature, read several times below

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orebody.functions.expr import long_form, numeric_columns, prefix_sums
+from orebody.sources.shared import checkpoint
 
 LIFT_SHARE = 0.10
 MISSING = "MISSING"
@@ -38,7 +39,7 @@ def scores(df: DataFrame, key: str, target: str, features: list[str]) -> DataFra
         part = base.select("id", "y", F.lit(c).alias("feature"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING)).alias("value")).join(codes, "value")
         part = part.select("id", "y", "feature", F.col("code").alias("x"))
         out = part if out is None else out.unionByName(part)
-    return out
+    return checkpoint(out)  # every measure reads it several times
 
 
 def ranking(rows: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ def evaluate(df: DataFrame, key: str, target: str, features: list[str] | None =
     if not features:
         return df.sparkSession.createDataFrame([], schema)
     rows = scores(df, key, target, features)
-    ranked = ranking(rows)
+    ranked = checkpoint(ranking(rows))  # a row a feature
     recall = top_share(rows, ranked, topk_ratio).select("feature", F.col("hits").alias("hits_k"))
     lift = top_share(rows, ranked, LIFT_SHARE).select("feature", "top", F.col("hits").alias("hits_d"))
     all_ = ranked.join(recall, "feature").join(lift, "feature").join(information_value(rows), "feature")

@@ -431,12 +431,12 @@ def near_dup_pairs(spark, sf_dir):
 
 @query()
 def model_gain(spark, sf_dir):
-    return advanced.model_gain(matrix(spark, sf_dir), KEY, TARGET, ["order_count", "order_total"], ["last_day", "cashout_installments_late_ratio"], trees=10)
+    return advanced.model_gain(matrix(spark, sf_dir), KEY, TARGET, ["order_count", "order_total"], ["last_day", "cashout_installments_late_ratio"], folds=2, trees=5, depth=3)
 
 
 @query()
 def forward_selection(spark, sf_dir):
-    return advanced.forward_selection(matrix(spark, sf_dir), KEY, TARGET, ["order_total", "last_day", "cashout_installments_late_ratio"], most=2, trees=5, depth=3)
+    return advanced.forward_selection(matrix(spark, sf_dir), KEY, TARGET, ["order_total", "last_day", "cashout_installments_late_ratio"], most=1, folds=2, trees=3, depth=3)
 
 
 def flagship(spark, sf_dir) -> DataFrame:

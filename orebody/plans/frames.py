@@ -59,7 +59,7 @@ asked AS (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS "AMT_APPLICATION"
 previous_application AS (SELECT o_orderkey AS "SK_ID_PREV", o_custkey AS "SK_ID_CURR", o_totalprice AS "AMT_CREDIT", o_orderstatus AS "NAME_CONTRACT_STATUS",
   date_diff('day', DATE '{ASOF_ORDERS}', o_orderdate::DATE) AS "DAYS_DECISION", "AMT_APPLICATION" FROM orders LEFT JOIN asked ON l_orderkey = o_orderkey),
 bureau AS (SELECT user_id AS "SK_ID_CURR", date_diff('day', DATE '{ASOF_EVENTS}', ts::DATE) AS "DAYS_CREDIT" FROM events),
-card AS (SELECT l_orderkey AS "SK_ID_PREV", l_tax * l_extendedprice AS atm, l_extendedprice AS total FROM lineitem),
+card_rows AS (SELECT l_orderkey AS "SK_ID_PREV", l_tax * l_extendedprice AS atm, l_extendedprice AS total FROM lineitem),
 inst AS (SELECT l_orderkey AS "SK_ID_PREV", l_linenumber AS num, l_quantity::INT - 20 AS late FROM lineitem),
 owner AS (SELECT DISTINCT "SK_ID_PREV", "SK_ID_CURR" FROM previous_application),
 velocity_prev AS (SELECT "SK_ID_CURR", count(*) FILTER ("DAYS_DECISION" >= -7) AS velocity_prev_count_7d, count(*) FILTER ("DAYS_DECISION" >= -30) AS velocity_prev_count_30d
@@ -69,7 +69,7 @@ velocity_gap AS (SELECT "SK_ID_CURR", CASE WHEN count(gap) >= 2 THEN stddev_pop(
 velocity_bureau AS (SELECT "SK_ID_CURR", count(*) FILTER ("DAYS_CREDIT" >= -30) AS velocity_bureau_recent_credit_count_30d FROM bureau GROUP BY 1),
 consistency_prev AS (SELECT "SK_ID_CURR", avg(abs("AMT_CREDIT" - "AMT_APPLICATION") / (abs("AMT_APPLICATION") + 1)) AS consistency_prev_credit_gap_ratio_mean,
   count(DISTINCT "NAME_CONTRACT_STATUS")::DOUBLE / nullif(count("AMT_APPLICATION"), 0) AS consistency_prev_status_change_rate FROM previous_application GROUP BY 1),
-cash AS (SELECT "SK_ID_CURR", avg(atm / (abs(total) + 1)) AS cashout_atm_ratio_mean FROM card JOIN owner USING ("SK_ID_PREV") GROUP BY 1),
+cash AS (SELECT "SK_ID_CURR", avg(atm / (abs(total) + 1)) AS cashout_atm_ratio_mean FROM card_rows JOIN owner USING ("SK_ID_PREV") GROUP BY 1),
 late AS (SELECT "SK_ID_CURR", max(late) FILTER (num = 1) AS cashout_first_payment_delinquency_days_max, avg((late > 0)::INT) AS cashout_installments_late_ratio,
   count(*) FILTER (num = 1) AS firsts FROM inst JOIN owner USING ("SK_ID_PREV") GROUP BY 1)"""
 
