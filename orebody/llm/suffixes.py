@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from orebody.llm import repeats
-from orebody.llm.common import poly
+from orebody.llm.common import mix64, poly
 from orebody.llm.suffix_sort import common, sort_suffixes
 
 LENGTH = 400
@@ -156,7 +156,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
         gone = repeats.marked(len(buf), first[several], last[several] + 1)
         runs = np.stack(repeats.runs_of(gone), axis=1).astype(np.int64).tobytes()
         first, last, place, copies = first[lead], last[lead], place[lead], copies
-        name = hashes[place]
+        name = mix64(hashes[place])  # least hashes lie near zero; mixed, they fill all ranges alike
         order = np.argsort(name, kind="stable")
         first, last, place, copies, name = first[order], last[order], place[order], copies[order], name[order]
         edges = repeats.ranges(name, slice_ranges)
