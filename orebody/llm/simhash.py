@@ -240,8 +240,10 @@ def links(marks: DataFrame, n_marks: int, radius: int = RADIUS, blocks: int | No
         key, fp, node = key[order], fp[order], node[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         root = linked_roots(fp, np.append(first, len(key)), radius)
-        moved = np.flatnonzero(root != np.arange(len(root)))
-        a, b = node[moved], node[root[moved]]
+        # every member points to its component's least node: groups that share it give the same links, which collapse
+        least = np.full(len(root), np.iinfo(np.int64).max)
+        np.minimum.at(least, root, node)
+        a, b = node, least[root]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
 
