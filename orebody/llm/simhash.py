@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from orebody.llm.common import checkpoint, mix64, partitions_for
 
@@ -328,7 +329,7 @@ def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, s
             nodes_of = pa.array(np.array([_node(t, shingle_words, seeds) for t in batch.column(at).cast(pa.binary())], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, nodes_of], names=[*names, "__sig"])
 
-    signed = docs.mapInArrow(sign, docs.schema.add("__sig", "long"))
+    signed = docs.mapInArrow(sign, StructType([*docs.schema.fields, StructField("__sig", LongType())]))
     match = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__sig") == F.col("__node"))
     return signed.join(kept, match, "left_semi").dropDuplicates(["doc_id", "__sig"]).select(*names)
 
