@@ -96,8 +96,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str, most: int, va
     return sampled_rows(docs, [usable.filter(F.col("__y") == v) for v in values], most, prefixes)
 
 
-def sampled_rows(docs: DataFrame, choices: list[DataFrame], most: int, prefixes: tuple[int, ...] = ()):
-    """Features of at most ``most`` documents of each choice (tables of doc_id and __y)."""
+def sampled_rows(docs: DataFrame, choices: list[DataFrame], most: int, prefixes: tuple[int, ...] = (), only_ids: bool = False):
+    """Features of at most ``most`` documents of each choice (tables of doc_id and __y); ``only_ids`` leaves
+    counts and statistics empty, which spares the driver's memory."""
     parts = [c.select("doc_id", "__y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in choices]
     chosen = parts[0]
     for p in parts[1:]:
@@ -109,13 +110,14 @@ def sampled_rows(docs: DataFrame, choices: list[DataFrame], most: int, prefixes:
             for bounds, ids, counts, stats in rows_of(batch.column(2), prefixes):
                 n = len(stats)
                 cut = bounds.astype(np.int32)
+                width = 0 if only_ids else N_STATS
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, n),
                         batch.column(1).slice(at, n),
                         pa.ListArray.from_arrays(pa.array(cut), pa.array(ids)),
-                        pa.ListArray.from_arrays(pa.array(cut), pa.array(counts.astype(np.int32))),
-                        pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * N_STATS), pa.array(stats.reshape(-1))),
+                        pa.ListArray.from_arrays(pa.array(cut * (not only_ids)), pa.array(counts[: 0 if only_ids else None].astype(np.int32))),
+                        pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(stats[:, :width].reshape(-1))),
                     ],
                     names=["doc_id", "__y", "ids", "counts", "stats"],
                 )
