@@ -6,7 +6,7 @@ ratio is at least ``MEAN_RATIO`` a character and ``TOTAL_RATIO`` in all.  Spans
 added where they touch no span of the fixed patterns, which all stay.
 
 Scale: one pass over the documents without a shuffle; the models are one table of 256 x 256 ratios.  Training
-reads at most ``SAMPLE_DOCS`` documents.
+takes at most ``SAMPLE_DOCS`` distinct texts, found by a filter on their hash.
 
 Defined results: null text counts as empty and has no spans; repeated rows are scanned alike; an empty
 table gives no rows; other columns are ignored.
@@ -36,6 +36,8 @@ TOKEN = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x2B, 0x2B), (0x2F
 LEAST_RUN = 20
 MEAN_RATIO, TOTAL_RATIO = 0.8, 24.0
 SAMPLE_DOCS = 2000
+#: Texts drawn for each one wanted: copies among them fall together.
+DRAWN = 4
 #: Random strings of each alphabet that are added to the labelled samples.
 RANDOM_STRINGS = 2000
 ALPHABETS = ("0123456789abcdef", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-")
@@ -59,7 +61,11 @@ def train(samples: list[tuple[bytes, int]]) -> np.ndarray:
 
 
 def labelled_samples(docs: DataFrame, most: int = SAMPLE_DOCS, seed: int = 0) -> list[tuple[bytes, int]]:
-    """Random strings of fixed alphabets and values of base spans (1); other token runs of at most ``most`` documents (0)."""
+    """Random strings of fixed alphabets and values of base spans (1); other token runs of at most ``most`` documents (0).
+
+    Texts are drawn by a hash of the text that lies under a share of its range, set by the number of rows, so
+    that few more than are wanted leave their partition, however many rows there are; copies count once.
+    """
     rng = np.random.default_rng(seed)
     out = [(bytes(rng.choice(list(alphabet.encode()), int(rng.integers(20, 65))).astype(np.uint8)), 1) for alphabet in ALPHABETS for _ in range(RANDOM_STRINGS)]
 
@@ -75,7 +81,9 @@ def labelled_samples(docs: DataFrame, most: int = SAMPLE_DOCS, seed: int = 0) ->
                         found[m[0][:200], int(inside)] = None
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.binary()), pa.array([k[1] for k in found], pa.int32())], names=["s", "y"])
 
-    sample = docs.filter("text IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("text")
+    share = max(1, docs.count() // (DRAWN * most))
+    drawn = docs.select("text", F.xxhash64("text").alias("at")).filter(F.col("text").isNotNull() & (F.pmod("at", F.lit(share)) == 0))
+    sample = drawn.dropDuplicates(["text"]).orderBy("at", "text").limit(most).select("text")
     table = sample.mapInArrow(runs, "s binary, y int").distinct().orderBy("y", "s").limit(400_000).toArrow()
     return out + list(zip(table["s"].to_pylist(), table["y"].to_pylist()))
 
