@@ -96,6 +96,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str, most: int, va
     return sampled_rows(docs, [usable.filter(F.col("__y") == v) for v in values], most, prefixes)
 
 
+def drawn(rows: DataFrame, n_rows: int, most: int, times: int = 3) -> DataFrame:
+    """Distinct rows (doc_id and others) whose id's hash falls in a share of about ``times * most`` of ``n_rows``
+    rows; what is then ordered and limited to ``most`` stays small in every task, however many rows there are."""
+    share = max(1, n_rows // (times * most))
+    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).distinct()
+
+
 def sampled_rows(docs: DataFrame, choices: list[DataFrame], most: int, prefixes: tuple[int, ...] = (), only_ids: bool = False):
     """Features of at most ``most`` documents of each choice (tables of doc_id and __y); ``only_ids`` leaves
     counts and statistics empty, which spares the driver's memory."""

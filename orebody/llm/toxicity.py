@@ -111,7 +111,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS, models: int =
     prior = min(max(toxic / total, 0.01), 0.9)
     unlabelled = docs.filter(~held_out() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("__y"))
     pos, _ = features.sampled_rows(docs, [known.filter("__y = 1")], most, PREFIXES, only_ids=True)
-    unl, _ = features.sampled_rows(docs, [unlabelled], 3 * most, PREFIXES, only_ids=True)
+    some = features.drawn(unlabelled, docs.count(), 3 * most)
+    unl, _ = features.sampled_rows(docs, [some], 3 * most, PREFIXES, only_ids=True)
     fitted = [train(pos, unl, prior, seed=k) for k in range(models)]
     if fitted[0].weights.size == 0:
         return NOTHING
