@@ -24,6 +24,7 @@ one shingle; repeated rows give repeated rows; null ids are never a component's
 from __future__ import annotations
 
 import itertools
+import math
 from itertools import accumulate
 
 import numpy as np
@@ -40,7 +41,14 @@ SHINGLE_WORDS = 4
 SEED = 42
 #: Near-duplicate stages take five words, and fingerprints of several seeds.
 STAGE_SHINGLE_WORDS = 5
-STAGE_SEEDS = 6
+STAGE_SEEDS = 5
+STAGE_SIMILARITY = 0.8
+#: Bits in which the fingerprints of one seed may differ before those of all seeds are compared.
+STAGE_RADIUS = 12
+#: Bit blocks of a stage's fingerprints, and how many of them a key takes, at every size.
+STAGE_BLOCKS, STAGE_KEY_BLOCKS = 6, 2
+#: Rows (keys of signatures) in a partition of a stage.
+STAGE_ROWS = 1_000_000
 #: (fingerprints up to, bit blocks): longer keys once groups would grow large; all give the same links.
 BLOCKS_BY_COUNT = ((40_000_000, 5), (4_000_000_000, 6), (1 << 63, 8))
 #: Pairs of nodes that are compared at once; bounds memory.
@@ -161,17 +169,26 @@ def children(left, right, starts, total):
     return pair[keep], i[keep], j[keep]
 
 
-def linked_roots(fps: np.ndarray, bounds: np.ndarray, radius: int) -> np.ndarray:
+def linked_roots(fps: np.ndarray, bounds: np.ndarray, radius: int, sigs: np.ndarray | None = None, most_bits: int = 0) -> np.ndarray:
     """Component root (an index) of each fingerprint, linking only inside groups.
 
-    ``fps`` is sorted by group and Gray rank; ``bounds`` are the groups' edges.
+    ``fps`` is sorted by group and Gray rank; ``bounds`` are the groups' edges.  Given ``sigs`` (rows of
+    fingerprints), a link's rows must differ in at most ``most_bits`` bits besides.
     """
+
+    def alike(x, y):
+        ok = np.bitwise_count(fps[x] ^ fps[y]) <= radius
+        if sigs is not None:
+            at = np.flatnonzero(ok)
+            ok[at] = np.bitwise_count(sigs[x[at]] ^ sigs[y[at]]).sum(axis=1, dtype=np.int64) <= most_bits
+        return ok
+
     n = len(fps)
     root = np.arange(n)
     if n < 2:
         return root
     # neighbours in Gray order first: it joins most of a large group before the tree is walked
-    near = np.flatnonzero(np.bitwise_count(fps[1:] ^ fps[:-1]) <= radius)
+    near = np.flatnonzero(alike(np.arange(1, n), np.arange(n - 1)))
     near = near[~np.isin(near + 1, bounds)]
     root = local_roots(n, near, near + 1, root)
     low_at, low_bounds = node_starts(bounds, 8)
@@ -212,24 +229,37 @@ def linked_roots(fps: np.ndarray, bounds: np.ndarray, radius: int) -> np.ndarray
                 _, x, y = children(i[q : q + PAIR_CHUNK // 64], j[q : q + PAIR_CHUNK // 64], low_at, n)
                 open_ = root[x] != root[y]
                 x, y = x[open_], y[open_]
-                link = np.bitwise_count(fps[x] ^ fps[y]) <= radius
+                link = alike(x, y)
                 root = local_roots(n, x[link], y[link], root)
     return root
 
 
+def stars(key: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: int, sigs: np.ndarray | None = None, most_bits: int = 0) -> pa.RecordBatch:
+    """Links of rows that share a key, as one star a component."""
+    order = np.lexsort((gray_rank(fp), key))
+    key, fp, node, sigs = key[order], fp[order], node[order], None if sigs is None else sigs[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    root = linked_roots(fp, np.append(first, len(key)), radius, sigs, most_bits)
+    # every member points to its component's least node: groups that share it give the same links, which collapse
+    least = np.full(len(root), np.iinfo(np.int64).max)
+    np.minimum.at(least, root, node)
+    a, b = node, least[root]
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
+
+
 def links(marks: DataFrame, n_marks: int, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """Links (a, b) between nodes whose components are those of all pairs with fingerprints within ``radius``.
 
-    ``marks`` has node and fp, and seed if nodes have fingerprints of several seeds (any of them may link).
+    ``marks`` has node and fp.
     """
     blocks = blocks or next(b for most, b in BLOCKS_BY_COUNT if n_marks <= most)
     blocks = max(blocks, radius + 1)
 
     def deal(batches):
         for batch in batches:
-            fps, seeds = (batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in (1, 2))
-            for key in group_keys(fps, blocks, radius):
-                yield pa.RecordBatch.from_arrays([pa.array(mix64(key + seeds).view(np.int64)), batch.column(1), batch.column(0)], names=["key", "fp", "node"])
+            for key in group_keys(batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64), blocks, radius):
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(1), batch.column(0)], names=["key", "fp", "node"])
 
     def join(batches):
         parts = [[c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches]
@@ -237,23 +267,52 @@ def links(marks: DataFrame, n_marks: int, radius: int = RADIUS, blocks: int | No
             return
         key, fp, node = (np.concatenate(c) for c in zip(*parts))
         fp = fp.view(np.uint64)
-        order = np.lexsort((gray_rank(fp), key))
-        key, fp, node = key[order], fp[order], node[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        root = linked_roots(fp, np.append(first, len(key)), radius)
-        # every member points to its component's least node: groups that share it give the same links, which collapse
-        least = np.full(len(root), np.iinfo(np.int64).max)
-        np.minimum.at(least, root, node)
-        a, b = node, least[root]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
-
-    seed = F.col("seed") if "seed" in marks.columns else F.lit(0)
-    dealt = marks.select("node", "fp", seed.cast("long").alias("seed")).mapInArrow(deal, "key bigint, fp bigint, node bigint")
+        yield stars(key, node, fp, radius)
+
+    dealt = marks.select("node", "fp").mapInArrow(deal, "key bigint, fp bigint, node bigint")
     n_parts = max(partitions_for(marks), n_marks * len(list(itertools.combinations(range(blocks), radius))) // 2_000_000)
     return dealt.repartition(n_parts, "key").mapInArrow(join, "a bigint, b bigint").distinct()
 
 
+def bits_of_similarity(similarity: float, n_bits: int) -> int:
+    """Bits of ``n_bits`` in which sets of that Jaccard similarity differ on average: the angle between them over pi."""
+    return round(n_bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def similar_links(nodes: DataFrame, n_nodes: int, seeds: int, similarity: float, radius: int = STAGE_RADIUS) -> DataFrame:
+    """Links (a, b) between ``nodes`` (node, fps) whose fingerprints of all seeds differ in no more bits than
+    sets of ``similarity`` do on average.
+
+    Nodes meet under STAGE_KEY_BLOCKS of the STAGE_BLOCKS bit blocks of the fingerprint of any seed; the keys do
+    not depend on the number of nodes.
+    """
+    most_bits = bits_of_similarity(similarity, 64 * seeds)
+    width = pa.binary(8 * seeds)
+
+    def deal(batches):
+        for batch in batches:
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, seeds)
+            sigs = pa.FixedSizeBinaryArray.from_buffers(width, len(flat), [None, pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
+            for k in range(seeds):
+                seed, salt = pa.array(np.full(len(flat), k, np.int8)), np.uint64(k)
+                for key in group_keys(flat[:, k], STAGE_BLOCKS, STAGE_BLOCKS - STAGE_KEY_BLOCKS):
+                    yield pa.RecordBatch.from_arrays([pa.array(mix64(key + salt).view(np.int64)), seed, batch.column(0), sigs], names=["key", "seed", "node", "sigs"])
+
+    def join(batches):
+        parts = []
+        for batch in batches:
+            data = batch.column(3).cast(width)
+            sigs = np.frombuffer(data.buffers()[1], np.uint64)[data.offset * seeds : (data.offset + len(data)) * seeds].reshape(-1, seeds)
+            parts.append((*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)), sigs))
+        if parts:
+            key, seed, node, sigs = (np.concatenate(c) for c in zip(*parts))
+            yield stars(key, node, sigs[np.arange(len(seed)), seed], radius, sigs, most_bits)
+
+    n_keys = seeds * math.comb(STAGE_BLOCKS, STAGE_KEY_BLOCKS)
+    dealt = nodes.select("node", "fps").mapInArrow(deal, "key bigint, seed tinyint, node bigint, sigs binary")
+    return dealt.repartition(max(partitions_for(nodes), n_nodes * n_keys // STAGE_ROWS), "key").mapInArrow(join, "a bigint, b bigint").distinct()
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(fp, label): label is the least fp (signed order) that links reach, for every fp with a link.
 
@@ -305,17 +364,15 @@ def signatures(docs: DataFrame, shingle_words: int, seeds: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, node bigint, fps array<bigint>")
 
 
-def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, seeds: int = STAGE_SEEDS, radius: int = RADIUS) -> DataFrame:
+def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, seeds: int = STAGE_SEEDS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, less all but the least id of every group of near copies.
 
-    Two texts link when the fingerprints of any of ``seeds`` hash seeds differ in at most ``radius`` bits: four
-    bits of 64 stand for a similarity well above 0.8, and several seeds make up for pairs above it that one
-    seed's chance bits would part.
+    Two texts link when their fingerprints of ``seeds`` hash seeds differ, all together, in no more bits than texts
+    of ``similarity`` (Jaccard, of shingles) do on average; see ``similar_links`` for the pairs that meet.
     """
     marks = checkpoint(signatures(docs, shingle_words, seeds))
     nodes = checkpoint(marks.groupBy("node").agg(F.first("fps").alias("fps"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("least")))
-    spread = nodes.select("node", F.posexplode("fps").alias("seed", "fp"))
-    labels = components(links(spread, nodes.count() * seeds, radius)).withColumnRenamed("fp", "node")
+    labels = components(similar_links(nodes, nodes.count(), seeds, similarity)).withColumnRenamed("fp", "node")
     kept = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct("least", "node")).alias("first"))
     kept = checkpoint(kept.select(F.col("first.least.doc_id").alias("__id"), F.col("first.node").alias("__node")))
     if marks.count() == marks.select("doc_id").distinct().count():
