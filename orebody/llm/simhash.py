@@ -30,7 +30,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -313,6 +313,17 @@ def similar_links(nodes: DataFrame, n_nodes: int, seeds: int, similarity: float,
     return dealt.repartition(max(partitions_for(nodes), n_nodes * n_keys // STAGE_ROWS), "key").mapInArrow(join, "a bigint, b bigint").distinct()
 
 
+def drawn_in(edges: DataFrame, rounds: int = 2) -> DataFrame:
+    """Fewer links (a < b) with the same components: a round ties all lesser neighbours of a node, and the node, to
+    the least of them.  A node that many groups tie to different heads so keeps one link, and heads' links coincide.
+    """
+    for _ in range(rounds):
+        tied = checkpoint(edges.withColumn("least", F.min("a").over(Window.partitionBy("b"))))
+        heads = tied.filter("a > least").select(F.col("least").alias("a"), F.col("a").alias("b"))
+        edges = checkpoint(tied.select(F.col("least").alias("a"), "b").unionByName(heads).distinct())
+    return edges
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(fp, label): label is the least fp (signed order) that links reach, for every fp with a link.
 
@@ -372,7 +383,7 @@ def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, s
     """
     marks = checkpoint(signatures(docs, shingle_words, seeds))
     nodes = checkpoint(marks.groupBy("node").agg(F.first("fps").alias("fps"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("least")))
-    labels = components(similar_links(nodes, nodes.count(), seeds, similarity)).withColumnRenamed("fp", "node")
+    labels = components(drawn_in(similar_links(nodes, nodes.count(), seeds, similarity))).withColumnRenamed("fp", "node")
     kept = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct("least", "node")).alias("first"))
     kept = checkpoint(kept.select(F.col("first.least.doc_id").alias("__id"), F.col("first.node").alias("__node")))
     if marks.count() == marks.select("doc_id").distinct().count():
