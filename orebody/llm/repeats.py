@@ -46,23 +46,22 @@ def bucket_of(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
     return table, *text_buffers(table["text"])
 
 
-def ranges(sorted_keys: np.ndarray, n: int) -> np.ndarray:
-    """Edges (n + 1 long) of n equal key ranges in a sorted array of uint64."""
-    edges = np.array([(i << 64) // n for i in range(1, n)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(sorted_keys, edges), [len(sorted_keys)]])
+def ranges(sorted_keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(those of n equal key ranges that sorted uint64 keys fall in, their edges, one longer); the cost does not grow with n."""
+    r = ((sorted_keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    first = np.flatnonzero(np.append(True, r[1:] != r[:-1])[: len(r)])
+    return r[first].astype(np.int32), np.append(first, len(r))
+
+
+def blocks(values: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """The values of each range."""
+    return [values[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
 def key_blocks(p: int, keys: np.ndarray, n: int) -> pa.Table:
     """(r, p, keys): the bucket's distinct sorted keys, cut by range."""
-    edges = ranges(keys, n)
-    full = np.flatnonzero(np.diff(edges))
-    return pa.table(
-        {
-            "r": pa.array(full.astype(np.int32)),
-            "p": pa.array(np.full(len(full), p, np.int32)),
-            "keys": pa.array([keys[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()),
-        }
-    )
+    full, edges = ranges(keys, n)
+    return pa.table({"r": pa.array(full), "p": pa.array(np.full(len(full), p, np.int32)), "keys": pa.array(blocks(keys, edges), pa.binary())})
 
 
 KEY_SCHEMA = "r int, p int, keys binary"
@@ -88,11 +87,11 @@ def recurring(table):
 
 def flagged(keys: np.ndarray, n: int, table: pa.Table) -> np.ndarray:
     """The bits that came back, in the order of the bucket's distinct sorted keys."""
-    edges = ranges(keys, n)
+    full, edges = ranges(keys, n)
     out = np.zeros(len(keys), bool)
-    for r, flags in zip(table["r"].to_pylist(), table["flags"].to_pylist()):
-        size = edges[r + 1] - edges[r]
-        out[edges[r] : edges[r + 1]] = np.unpackbits(np.frombuffer(flags, np.uint8), count=size).astype(bool)
+    for k, flags in zip(np.searchsorted(full, table["r"].to_numpy()).tolist(), table["flags"].to_pylist()):
+        a, b = edges[k : k + 2].tolist()
+        out[a:b] = np.unpackbits(np.frombuffer(flags, np.uint8), count=b - a).astype(bool)
     return out
 
 

@@ -100,20 +100,18 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, buc
         starts, ends = repeats.runs_of(here)
         place = np.where(several, -1, at).astype(np.int32)[new]
         h, c = h[new], c[new]
-        edges = repeats.ranges(h, n_ranges)
-        full = np.flatnonzero(np.diff(edges))
-        cut = lambda x: [x[edges[i] : edges[i + 1]].tobytes() for i in full]
+        full, edges = repeats.ranges(h, n_ranges)
         p = key[0].as_py()
         runs = [b""] * len(full)
         if len(full):
             runs[p % len(full)] = np.stack([starts, ends], axis=1).astype(np.int32).tobytes()
         return pa.table(
             {
-                "r": pa.array(full.astype(np.int32)),
+                "r": pa.array(full),
                 "p": pa.array(np.full(len(full), p, np.int32)),
-                "keys": pa.array(cut(h), pa.binary()),
-                "checks": pa.array(cut(c), pa.binary()),
-                "at": pa.array(cut(place), pa.binary()),
+                "keys": pa.array(repeats.blocks(h, edges), pa.binary()),
+                "checks": pa.array(repeats.blocks(c, edges), pa.binary()),
+                "at": pa.array(repeats.blocks(place, edges), pa.binary()),
                 "runs": pa.array(runs, pa.binary()),
             }
         )

@@ -159,12 +159,11 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
         name = mix64(hashes[place])  # least hashes lie near zero; mixed, they fill all ranges alike
         order = np.argsort(name, kind="stable")
         first, last, place, copies, name = first[order], last[order], place[order], copies[order], name[order]
-        edges = repeats.ranges(name, slice_ranges)
-        full = np.flatnonzero(np.diff(edges))
+        full, edges = repeats.ranges(name, slice_ranges)
         p = key[0].as_py()
         rows = {k: [] for k in ("anchors", "heads", "places", "copies", "data", "runs")}
-        for k, r in enumerate(full.tolist()):
-            own = slice(edges[r], edges[r + 1])
+        for k in range(len(full)):
+            own = slice(edges[k], edges[k + 1])
             rows["anchors"].append(name[own].tobytes())
             rows["heads"].append(np.stack([place[own] - first[own], last[own] + length - place[own]], axis=1).astype(np.int32).tobytes())
             rows["places"].append(place[own].tobytes())
@@ -172,7 +171,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
             rows["data"].append(b"".join([buf[a:b].tobytes() for a, b in zip(first[own].tolist(), (last[own] + length).tolist())]))
             rows["runs"].append(runs if k == p % len(full) else b"")
         return pa.table(
-            {"r": pa.array(full.astype(np.int32)), "p": pa.array(np.full(len(full), p, np.int32)), **{k: pa.array(v, pa.binary()) for k, v in rows.items()}}
+            {"r": pa.array(full), "p": pa.array(np.full(len(full), p, np.int32)), **{k: pa.array(v, pa.binary()) for k, v in rows.items()}}
         )
 
     def sort_slices(table):
