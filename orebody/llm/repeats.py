@@ -95,6 +95,42 @@ def flagged(keys: np.ndarray, n: int, table: pa.Table) -> np.ndarray:
     return out
 
 
+def window_blocks(h: np.ndarray, c: np.ndarray, at: np.ndarray, size: int, n: int) -> tuple[dict[int, tuple[bytes, bytes, bytes]], np.ndarray]:
+    """What a bucket of ``size`` tokens sends of its windows, which start at ``at`` and have the hashes (h, c).
+
+    Returns, for each of n ranges of h that has any, (h, c, start) of the distinct windows, and the runs
+    [from, to) of the starts of windows that the bucket itself has twice; those windows are sent without a start.
+    """
+    order = np.lexsort((c, h))
+    h, c, at = h[order], c[order], at[order]
+    new = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1]))[: len(h)]
+    group = np.cumsum(new) - 1
+    several = np.bincount(group, minlength=1)[group] > 1
+    here = np.zeros(size, bool)
+    here[at[several]] = True
+    place = np.where(several, -1, at).astype(np.int32)[new]
+    h, c = h[new], c[new]
+    full, edges = ranges(h, n)
+    return dict(zip(full.tolist(), zip(blocks(h, edges), blocks(c, edges), blocks(place, edges)))), np.stack(runs_of(here), axis=1)
+
+
+def match_windows(table: pa.Table) -> list[np.ndarray]:
+    """For each row of one range (keys, checks, at): the starts of windows that another bucket has too."""
+    load = lambda name, kind: [np.frombuffer(b, kind) for b in table[name].to_pylist()]
+    keys, checks, at = load("keys", np.uint64), load("checks", np.uint32), load("at", np.int32)
+    h, c = np.concatenate(keys), np.concatenate(checks)
+    order = np.lexsort((c, h))
+    h, c = h[order], c[order]
+    same = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
+    twin = np.zeros(len(h), bool)
+    twin[1:] |= same
+    twin[:-1] |= same
+    hit = np.empty(len(h), bool)
+    hit[order] = twin
+    parts = np.split(hit, np.cumsum([len(k) for k in keys])[:-1])
+    return [a[x & (a >= 0)] for a, x in zip(at, parts)]
+
+
 def runs_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))

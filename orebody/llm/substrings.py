@@ -88,49 +88,25 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, buc
         can = repeats.whole_windows(first, window)
         can &= ~repeats.marked(len(words), begin[once], end[once])
         at = np.flatnonzero(can)
-        h, c = windows_at(words, at, window)
-        order = np.lexsort((c, h))
-        h, c, at = h[order], c[order], at[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        group = np.cumsum(new) - 1
-        several = np.bincount(group, minlength=1)[group] > 1 if len(group) else np.zeros(0, bool)
-        here = np.zeros(len(words), bool)
-        here[at[several]] = True
-        starts, ends = repeats.runs_of(here)
-        place = np.where(several, -1, at).astype(np.int32)[new]
-        h, c = h[new], c[new]
-        full, edges = repeats.ranges(h, n_ranges)
+        windows, local = repeats.window_blocks(*windows_at(words, at, window), at, len(words), n_ranges)
         p = key[0].as_py()
-        runs = [b""] * len(full)
-        if len(full):
-            runs[p % len(full)] = np.stack([starts, ends], axis=1).astype(np.int32).tobytes()
+        runs = [b""] * len(windows)
+        if windows:
+            runs[p % len(windows)] = local.astype(np.int32).tobytes()
+        keys, checks, at = zip(*windows.values()) if windows else ((), (), ())
         return pa.table(
             {
-                "r": pa.array(full),
-                "p": pa.array(np.full(len(full), p, np.int32)),
-                "keys": pa.array(repeats.blocks(h, edges), pa.binary()),
-                "checks": pa.array(repeats.blocks(c, edges), pa.binary()),
-                "at": pa.array(repeats.blocks(place, edges), pa.binary()),
+                "r": pa.array(list(windows), pa.int32()),
+                "p": pa.array([p] * len(windows), pa.int32()),
+                "keys": pa.array(keys, pa.binary()),
+                "checks": pa.array(checks, pa.binary()),
+                "at": pa.array(at, pa.binary()),
                 "runs": pa.array(runs, pa.binary()),
             }
         )
 
     def match_windows(table):
-        load = lambda name, kind: [np.frombuffer(b, kind) for b in table[name].to_pylist()]
-        keys, checks, at = load("keys", np.uint64), load("checks", np.uint32), load("at", np.int32)
-        sizes = [len(k) for k in keys]
-        h, c = np.concatenate(keys), np.concatenate(checks)
-        order = np.lexsort((c, h))
-        h, c = h[order], c[order]
-        same = (h[1:] == h[:-1]) & (c[1:] == c[:-1])
-        twin = np.zeros(len(h), bool)
-        twin[1:] |= same
-        twin[:-1] |= same
-        hit = np.empty(len(h), bool)
-        hit[order] = twin
-        parts = np.split(hit, np.cumsum(sizes)[:-1])
-        found = [a[x & (a >= 0)].tobytes() for a, x in zip(at, parts)]
+        found = [x.tobytes() for x in repeats.match_windows(table)]
         return pa.table({"p": table["p"].cast(pa.int32()), "at": pa.array(found, pa.binary()), "runs": table["runs"].cast(pa.binary())})
 
     def remove(table, found):

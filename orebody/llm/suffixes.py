@@ -11,6 +11,10 @@ Every byte that lies in a string of ``length`` bytes which also starts anywhere
    each group ordered by what stands before the anchors.  Two slices share the strings that fit between their
    common part before and after; each suffix need only be held against its neighbours in that order, so no
    group's pairs are listed, yet every shared string is found and compared in full.
+   An anchor that very many slices have (a line in a third of all texts, in ever other surroundings) would be
+   one reducer's group.  Such anchors are found beforehand in a sample of the documents; their strings go one
+   by one, dealt by their own content hashes of 96 bits, of which a bucket sends equal ones once.  Which anchors
+   these are does not change the result.
 4. Each bucket removes the bytes that its repeated strings cover.
 
 Steps 1, 2 and 4 read the same exchange of the documents.
@@ -28,9 +32,10 @@ from bisect import bisect_left, insort
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orebody.llm import repeats
-from orebody.llm.common import mix64, poly
+from orebody.llm.common import checkpoint, mix64, poly, row_slices, text_buffers
 from orebody.llm.suffix_sort import common, sort_suffixes
 
 LENGTH = 400
@@ -40,9 +45,14 @@ BUCKET_BYTES = 4 << 20
 #: Text whose probes, and whose slices, make one key range of the reducers.
 PROBE_RANGE_BYTES = 64 << 20
 SLICE_RANGE_BYTES = 6 << 20
+#: One document of so many, by a hash of id and text, is looked at for frequent anchors.
+SAMPLE_SHARE = 64
+#: Slices of the sample from which an anchor is frequent, and the most such anchors; beyond, the limit doubles.
+FREQUENT_SLICES = 256
+MOST_FREQUENT = 500_000
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, removed array<bigint>, kept binary"
-_SLICE_SCHEMA = "r int, p int, anchors binary, heads binary, places binary, copies binary, data binary, runs binary"
+_SLICE_SCHEMA = "r int, p int, anchors binary, heads binary, places binary, copies binary, data binary, runs binary, keys binary, checks binary, at binary"
 _FOUND_SCHEMA = "p int, runs binary"
 
 
@@ -82,6 +92,27 @@ def anchors(hashes: np.ndarray, length: int, gram: int) -> np.ndarray:
     return (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def frequent_anchors(docs: DataFrame, length: int, share: int = SAMPLE_SHARE, least: int = FREQUENT_SLICES) -> np.ndarray:
+    """Sorted names of the anchors that at least ``least`` slices of one document in ``share`` have."""
+    gram = min(GRAM, length)
+
+    def run(batches):
+        for batch in batches:
+            raw, bounds = text_buffers(batch.column(0))
+            for i, j in row_slices(bounds):
+                buf, offs = raw[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]
+                hashes = grams(buf, offs, gram)[1]
+                place = np.unique(anchors(hashes, length, gram)[repeats.whole_windows(offs, length)])
+                yield pa.RecordBatch.from_arrays([pa.array(mix64(hashes[place]).view(np.int64))], names=["name"])
+
+    text = F.col("text").cast("binary")
+    chosen = docs.select(text.alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)).alias("k")).filter("k = 0").select("text")
+    counted = checkpoint(chosen.mapInArrow(run, "name bigint").groupBy("name").count().filter(F.col("count") >= least))
+    while counted.filter(F.col("count") >= least).count() > MOST_FREQUENT:
+        least *= 2
+    return np.sort(np.array([r.name for r in counted.filter(F.col("count") >= least).collect()], np.int64).view(np.uint64))
+
+
 def shared_strings(right: list[bytes], left: list[bytes], length: int) -> list[list[tuple[int, int]]]:
     """For slices given by what follows their anchor and by what precedes it (reversed): intervals [from, to]
     of offsets before the anchor at which a string of ``length`` bytes starts that another slice has too."""
@@ -124,8 +155,18 @@ def shared_strings(right: list[bytes], left: list[bytes], length: int) -> list[l
     return out
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def _windows(buf, prefix, at, length):
+    """(two hashes of the strings at ``at``, at, bytes of the bucket)."""
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), at, len(buf)
+    other = poly(42)
+    checks = other.spans(other.prefix(buf), at, at + length) >> np.uint64(32)
+    return poly(41).spans(prefix, at, at + length), checks.astype(np.uint32), at, len(buf)
+
+
+def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES, share: int = SAMPLE_SHARE, least: int = FREQUENT_SLICES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, removed (byte runs as from, to, ...) and kept (the bytes that stay)."""
+    frequent = frequent_anchors(docs, length, share, least)
     dealt, total = repeats.buckets(docs, bucket_bytes)
     probe_ranges = max(1, math.ceil(total / PROBE_RANGE_BYTES))
     slice_ranges = max(1, math.ceil(total / SLICE_RANGE_BYTES))
@@ -144,6 +185,9 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
         can &= ~repeats.marked(len(buf), np.maximum(once + probe - length, 0), once + 1)
         start = np.flatnonzero(can)
         anchor = anchors(hashes, length, gram)[start]
+        alone = np.isin(mix64(hashes[anchor]), frequent)
+        windows, alone_runs = repeats.window_blocks(*_windows(buf, prefix, start[alone], length), slice_ranges)
+        start, anchor = start[~alone], anchor[~alone]
         # strings in a row with one anchor make a slice
         new = np.ones(len(start), bool)
         new[1:] = (start[1:] != start[:-1] + 1) | (anchor[1:] != anchor[:-1])
@@ -154,15 +198,17 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
         _, lead, twin, copies = np.unique(content, return_index=True, return_inverse=True, return_counts=True)
         several = copies[twin] > 1
         gone = repeats.marked(len(buf), first[several], last[several] + 1)
-        runs = np.stack(repeats.runs_of(gone), axis=1).astype(np.int64).tobytes()
+        runs = np.concatenate([np.stack(repeats.runs_of(gone), axis=1), alone_runs]).astype(np.int64).tobytes()
         first, last, place, copies = first[lead], last[lead], place[lead], copies
         name = mix64(hashes[place])  # least hashes lie near zero; mixed, they fill all ranges alike
         order = np.argsort(name, kind="stable")
         first, last, place, copies, name = first[order], last[order], place[order], copies[order], name[order]
-        full, edges = repeats.ranges(name, slice_ranges)
+        own_ranges, own_edges = repeats.ranges(name, slice_ranges)
+        full = np.union1d(own_ranges, np.array(list(windows), np.int32)).astype(np.int32)
+        edges = np.append(own_edges[np.searchsorted(own_ranges, full)], len(name))  # of a range without slices: none
         p = key[0].as_py()
-        rows = {k: [] for k in ("anchors", "heads", "places", "copies", "data", "runs")}
-        for k in range(len(full)):
+        rows = {k: [] for k in ("anchors", "heads", "places", "copies", "data", "runs", "keys", "checks", "at")}
+        for k, r in enumerate(full.tolist()):
             own = slice(edges[k], edges[k + 1])
             rows["anchors"].append(name[own].tobytes())
             rows["heads"].append(np.stack([place[own] - first[own], last[own] + length - place[own]], axis=1).astype(np.int32).tobytes())
@@ -170,6 +216,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
             rows["copies"].append(np.minimum(copies[own], 2).astype(np.uint8).tobytes())
             rows["data"].append(b"".join([buf[a:b].tobytes() for a, b in zip(first[own].tolist(), (last[own] + length).tolist())]))
             rows["runs"].append(runs if k == p % len(full) else b"")
+            for column, block in zip(("keys", "checks", "at"), windows.get(r, (b"", b"", b""))):
+                rows[column].append(block)
         return pa.table(
             {"r": pa.array(full), "p": pa.array(np.full(len(full), p, np.int32)), **{k: pa.array(v, pa.binary()) for k, v in rows.items()}}
         )
@@ -203,7 +251,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
                     spans = [(length - (len(s) - a), a)]
                 for block, place in own:
                     found[block].extend((place - hi, place - lo + 1) for lo, hi in spans)
-        runs = [np.array(f, np.int64).reshape(-1, 2).tobytes() + r for f, r in zip(found, table["runs"].to_pylist())]
+        alone = [np.stack([at, at + 1], axis=1).astype(np.int64).tobytes() for at in repeats.match_windows(table)]
+        runs = [np.array(f, np.int64).reshape(-1, 2).tobytes() + a + r for f, a, r in zip(found, alone, table["runs"].to_pylist())]
         return pa.table({"p": table["p"].cast(pa.int32()), "runs": pa.array(runs, pa.binary())})
 
     def remove(table, found):

@@ -60,9 +60,10 @@ def test_suffixes(spark):
                 gone[a : a + n] = True
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
         want.append((i, len(x), int(gone.sum()), spans, np.frombuffer(x, np.uint8)[~gone].tobytes()))
-    for size in (1 << 20, 3000):
-        got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.deduplicate(frame(spark, rows), n, size).collect()]
-        assert by_id(got) == by_id(want)
+    assert len(suffixes.frequent_anchors(frame(spark, rows), n, 1, 8)) > 20
+    for size, share, least in ((1 << 20, 64, 256), (3000, 64, 256), (3000, 1, 8), (3000, 1, 1), (1 << 20, 2, 3)):
+        found = suffixes.deduplicate(frame(spark, rows), n, size, share, least)
+        assert by_id([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()]) == by_id(want)
 
 
 def test_suffix_sort():
