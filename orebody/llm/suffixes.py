@@ -81,6 +81,8 @@ def probes(buf, offs, length):
 def anchors(hashes: np.ndarray, length: int, gram: int) -> np.ndarray:
     """Position of the least gram of the string at each position, the first of equal ones."""
     n = len(hashes)
+    if n < length:
+        return np.arange(n)
     key = (hashes & ~np.uint64(0xFFFFFFFF)) | np.arange(n, dtype=np.uint64)
     width, size = length - gram + 1, 1
     while size * 2 <= width:

@@ -66,6 +66,13 @@ def test_suffixes(spark):
         assert by_id([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()]) == by_id(want)
 
 
+def test_suffixes_of_short_tables(spark):
+    for rows in ([(1, "short")], [(1, "ab " * 60), (2, "ab " * 60)], [(1, "a" * 400), (2, "a" * 400), (3, None)]):
+        for share in (64, 1):
+            got = {r.doc_id: r.n_removed for r in suffixes.deduplicate(frame(spark, rows), share=share, least=1).collect()}
+            assert got == {i: 400 if t == "a" * 400 else 0 for i, t in rows}
+
+
 def test_suffix_sort():
     rnd = random.Random(2)
     for _ in range(60):
