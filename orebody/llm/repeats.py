@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebody.llm.common import text_buffers
+from orebody.llm.common import partitions_for, text_buffers
 
 #: Most shuffle partitions that buckets are dealt to; a partition then holds several buckets, one at a time in memory.
 MOST_PARTITIONS = 20_000
@@ -68,6 +68,11 @@ KEY_SCHEMA = "r int, p int, keys binary"
 FLAG_SCHEMA = "p int, r int, flags binary"
 
 
+def by_range(df: DataFrame, n: int):
+    """``df`` grouped by r, one of n ranges; dealt to as many partitions where the session's default is fewer."""
+    return (df.repartition(min(n, MOST_PARTITIONS), "r") if n > partitions_for(df) else df).groupBy("r")
+
+
 def recurring(table):
     """For each bucket's block of one key range, a bit a key: does another bucket have it?"""
     blocks = [np.frombuffer(b, np.uint64) for b in table["keys"].to_pylist()]

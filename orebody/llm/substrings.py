@@ -140,7 +140,7 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, buc
         )
 
     names = dealt.groupBy("p").applyInArrow(send_symbols, repeats.KEY_SCHEMA)
-    flags = names.groupBy("r").applyInArrow(repeats.recurring, repeats.FLAG_SCHEMA)
+    flags = repeats.by_range(names, n_ranges).applyInArrow(repeats.recurring, repeats.FLAG_SCHEMA)
     candidates = dealt.groupBy("p").cogroup(flags.groupBy("p")).applyInArrow(send_windows, _WINDOW_SCHEMA)
-    found = candidates.groupBy("r").applyInArrow(match_windows, _FOUND_SCHEMA)
+    found = repeats.by_range(candidates, n_ranges).applyInArrow(match_windows, _FOUND_SCHEMA)
     return dealt.groupBy("p").cogroup(found.groupBy("p")).applyInArrow(remove, SCHEMA)

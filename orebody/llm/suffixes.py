@@ -283,7 +283,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
         )
 
     names = dealt.groupBy("p").applyInArrow(send_probes, repeats.KEY_SCHEMA)
-    flags = names.groupBy("r").applyInArrow(repeats.recurring, repeats.FLAG_SCHEMA)
+    flags = repeats.by_range(names, probe_ranges).applyInArrow(repeats.recurring, repeats.FLAG_SCHEMA)
     slices = dealt.groupBy("p").cogroup(flags.groupBy("p")).applyInArrow(send_slices, _SLICE_SCHEMA)
-    found = slices.groupBy("r").applyInArrow(sort_slices, _FOUND_SCHEMA)
+    found = repeats.by_range(slices, slice_ranges).applyInArrow(sort_slices, _FOUND_SCHEMA)
     return dealt.groupBy("p").cogroup(found.groupBy("p")).applyInArrow(remove, SCHEMA)

@@ -34,7 +34,8 @@ def by_id(rows):
     return sorted(rows, key=repr)
 
 
-def test_substrings(spark):
+def test_substrings(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "REDUCER_BYTES_OF_TEXT", 4000)  # several ranges
     rows, w = near_copies(), 12
     seen = collections.Counter(tuple(x[a : a + w]) for x in ((t or "").encode().split() for _, t in rows) for a in range(len(x) - w + 1))
     want = []
@@ -48,7 +49,9 @@ def test_substrings(spark):
     assert sum(x[2] for x in want) > 500
 
 
-def test_suffixes(spark):
+def test_suffixes(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "PROBE_RANGE_BYTES", 9000)  # several ranges
+    monkeypatch.setattr(suffixes, "SLICE_RANGE_BYTES", 4000)
     rows, n = near_copies(), 60
     seen = collections.Counter(x[a : a + n] for x in ((t or "").encode() for _, t in rows) for a in range(len(x) - n + 1))
     want = []
