@@ -24,7 +24,6 @@ one shingle; repeated rows give repeated rows; null ids are never a component's
 from __future__ import annotations
 
 import itertools
-import math
 from itertools import accumulate
 
 import numpy as np
@@ -39,15 +38,16 @@ from orebody.llm.common import checkpoint, mix64, partitions_for
 RADIUS = 4
 SHINGLE_WORDS = 4
 SEED = 42
-#: Near-duplicate stages take five words, and fingerprints of several seeds.
+#: Near-duplicate stages: words of a shingle, and the Jaccard similarity of the sets of shingles from which texts are near copies.
 STAGE_SHINGLE_WORDS = 5
-STAGE_SEEDS = 5
 STAGE_SIMILARITY = 0.8
-#: Bits in which the fingerprints of one seed may differ before those of all seeds are compared.
-STAGE_RADIUS = 12
-#: Bit blocks of a stage's fingerprints, and how many of them a key takes, at every size.
-STAGE_BLOCKS, STAGE_KEY_BLOCKS = 6, 2
-#: Rows (keys of signatures) in a partition of a stage.
+#: Bands of a stage's min-hashes and hashes in a band: of pairs at 0.8, (1 - 0.8 ** 3) ** 16, one in 100,000, agree in no band.
+STAGE_BANDS, STAGE_BAND_HASHES = 16, 3
+#: Equal min-hashes from which a pair that meets is a candidate: of pairs at 0.8, about one in 100,000 has fewer.
+STAGE_LEAST_EQUAL = 26
+#: Best partners that every text of a band's group proposes, besides a maximum spanning forest.
+STAGE_PARTNERS = 8
+#: Rows (bands of texts) in a partition of a stage.
 STAGE_ROWS = 1_000_000
 #: (fingerprints up to, bit blocks): longer keys once groups would grow large; all give the same links.
 BLOCKS_BY_COUNT = ((40_000_000, 5), (4_000_000_000, 6), (1 << 63, 8))
@@ -274,43 +274,114 @@ def links(marks: DataFrame, n_marks: int, radius: int = RADIUS, blocks: int | No
     return dealt.repartition(n_parts, "key").mapInArrow(join, "a bigint, b bigint").distinct()
 
 
-def bits_of_similarity(similarity: float, n_bits: int) -> int:
-    """Bits of ``n_bits`` in which sets of that Jaccard similarity differ on average: the angle between them over pi."""
-    return round(n_bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+def min_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Low half of the least mixed hash of a set, for every min-hash of a stage."""
+    n = STAGE_BANDS * STAGE_BAND_HASHES
+    salts = mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    least = np.full(n, ~np.uint64(0))
+    for i in range(0, len(hashes), 4096):
+        np.minimum(least, mix64(hashes[None, i : i + 4096] ^ salts[:, None]).min(axis=1), out=least)
+    return least.astype(np.uint32)
 
 
-def similar_links(nodes: DataFrame, n_nodes: int, seeds: int, similarity: float, radius: int = STAGE_RADIUS) -> DataFrame:
-    """Links (a, b) between ``nodes`` (node, fps) whose fingerprints of all seeds differ in no more bits than
-    sets of ``similarity`` do on average.
+def band_keys(mins: np.ndarray) -> np.ndarray:
+    """(texts, bands): a hash of each band's min-hashes and its number."""
+    bands = mins.reshape(len(mins), STAGE_BANDS, STAGE_BAND_HASHES).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, STAGE_BANDS + 1, dtype=np.uint64), bands.shape[:2])
+    for k in range(STAGE_BAND_HASHES):
+        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, k])
+    return key
 
-    Nodes meet under STAGE_KEY_BLOCKS of the STAGE_BLOCKS bit blocks of the fingerprint of any seed; the keys do
-    not depend on the number of nodes.
+
+def likely_pairs(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of which at least STAGE_LEAST_EQUAL columns agree: each row's STAGE_PARTNERS best, and a
+    maximum spanning forest (by Prim's rule), so that their number grows with the rows and not with all pairs.
+    """
+    n = len(sketches)
+    best, parent, out = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, bool)
+    left, right, at = [], [], 0
+    for _ in range(n):
+        equal = (sketches == sketches[at]).sum(axis=1)
+        equal[at] = -1
+        near = np.argpartition(-equal, STAGE_PARTNERS)[:STAGE_PARTNERS] if n > STAGE_PARTNERS + 1 else np.arange(n)
+        near = near[equal[near] >= STAGE_LEAST_EQUAL]
+        if best[at] >= STAGE_LEAST_EQUAL:
+            near = np.append(near, parent[at])
+        left.append(np.full(len(near), at))
+        right.append(near)
+        better = equal > best
+        best[better], parent[better] = equal[better], at
+        out[at] = True
+        at = int(np.argmax(np.where(out, -2, best)))
+    return np.concatenate(left), np.concatenate(right)
+
+
+def candidates(nodes: DataFrame, n_nodes: int) -> DataFrame:
+    """Pairs (a < b) of ``nodes`` (node, mins) that may be near copies; they meet where all min-hashes of a band agree.
+
+    A pair that meets in a group of at most STAGE_PARTNERS + 1 texts is always among them.
     """
-    most_bits = bits_of_similarity(similarity, 64 * seeds)
-    width = pa.binary(8 * seeds)
+    n_hashes = STAGE_BANDS * STAGE_BAND_HASHES
 
     def deal(batches):
         for batch in batches:
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, seeds)
-            sigs = pa.FixedSizeBinaryArray.from_buffers(width, len(flat), [None, pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
-            for k in range(seeds):
-                seed, salt = pa.array(np.full(len(flat), k, np.int8)), np.uint64(k)
-                for key in group_keys(flat[:, k], STAGE_BLOCKS, STAGE_BLOCKS - STAGE_KEY_BLOCKS):
-                    yield pa.RecordBatch.from_arrays([pa.array(mix64(key + salt).view(np.int64)), seed, batch.column(0), sigs], names=["key", "seed", "node", "sigs"])
+            mins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, n_hashes)
+            sketches = pa.array([r.tobytes() for r in mins.astype(np.uint8)], pa.binary())
+            keys = band_keys(mins).view(np.int64)
+            for k in range(STAGE_BANDS):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, k])), batch.column(0), sketches], names=["key", "node", "sketch"])
 
     def join(batches):
         parts = []
         for batch in batches:
-            data = batch.column(3).cast(width)
-            sigs = np.frombuffer(data.buffers()[1], np.uint64)[data.offset * seeds : (data.offset + len(data)) * seeds].reshape(-1, seeds)
-            parts.append((*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)), sigs))
-        if parts:
-            key, seed, node, sigs = (np.concatenate(c) for c in zip(*parts))
-            yield stars(key, node, sigs[np.arange(len(seed)), seed], radius, sigs, most_bits)
+            key, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            parts.append((key, node, np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, n_hashes)))
+        if not parts:
+            return
+        key, node, sketches = (np.concatenate(c) for c in zip(*parts))
+        order = np.argsort(key, kind="stable")
+        key, node = key[order], node[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.append(starts, len(key)))
+        two = starts[sizes == 2]
+        alike = (sketches[order[two]] == sketches[order[two + 1]]).sum(axis=1) >= STAGE_LEAST_EQUAL
+        pairs = [(node[two[alike]], node[two[alike] + 1])]
+        for s, n in zip(starts[sizes > 2], sizes[sizes > 2]):
+            x, y = likely_pairs(sketches[order[s : s + n]])
+            pairs.append((node[s + x], node[s + y]))
+        a, b = (np.concatenate(c) for c in zip(*pairs))
+        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1]))], names=["a", "b"])
+
+    dealt = nodes.select("node", "mins").mapInArrow(deal, "key bigint, node bigint, sketch binary")
+    return dealt.repartition(max(partitions_for(nodes), n_nodes * STAGE_BANDS // STAGE_ROWS), "key").mapInArrow(join, "a bigint, b bigint").distinct()
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sets without repeats."""
+    both = len(np.unique(np.concatenate([a, b])))
+    return (len(a) + len(b) - both) / both if both else 1.0
+
+
+def settled_links(docs: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets of shingles have that Jaccard similarity or more, by the sets themselves."""
+
+    def collect(batches):
+        for batch in batches:
+            sets = [shingle_set(t, shingle_words) for t in batch.column(0).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([node_of(h) for h in sets], np.int64)), pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "hashes"])
+
+    def settle(batches):
+        for batch in batches:
+            x, y = ([np.frombuffer(h, np.uint64) for h in batch.column(k).to_pylist()] for k in (2, 3))
+            alike = np.fromiter((jaccard(p, q) >= similarity for p, q in zip(x, y)), bool, len(x))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(alike)) for k in (0, 1)], names=["a", "b"])
 
-    n_keys = seeds * math.comb(STAGE_BLOCKS, STAGE_KEY_BLOCKS)
-    dealt = nodes.select("node", "fps").mapInArrow(deal, "key bigint, seed tinyint, node bigint, sigs binary")
-    return dealt.repartition(max(partitions_for(nodes), n_nodes * n_keys // STAGE_ROWS), "key").mapInArrow(join, "a bigint, b bigint").distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = docs.select("text").mapInArrow(collect, "node bigint, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))
+    sets = checkpoint(sets.join(wanted, "node", "left_semi"))
+    left, right = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(settle, "a bigint, b bigint")
 
 
 def drawn_in(edges: DataFrame, rounds: int = 2) -> DataFrame:
@@ -353,37 +424,38 @@ def groups(docs: DataFrame, radius: int = RADIUS, shingle_words: int = SHINGLE_W
     return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def signatures(docs: DataFrame, shingle_words: int, seeds: int) -> DataFrame:
-    """(doc_id, node, fps): fingerprints of several seeds, and their common hash; hashes of further seeds are mixed from the first."""
+def shingle_set(text, shingle_words: int) -> np.ndarray:
+    """Hashes of a text's shingles in order, each once."""
+    return np.unique(shingle_hashes(text.as_py() or b"", shingle_words))
+
+
+def node_of(hashes: np.ndarray) -> int:
+    """Name of a set of shingles, as a signed long."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
+
+
+def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
+    """(doc_id, node, mins): the name of the text's set of shingles, and its min-hashes."""
 
     def run(batches):
-        salts = [mix64(np.full(1, k, np.uint64)) for k in range(seeds)]
         for batch in batches:
-            fps = np.zeros((batch.num_rows, seeds), np.uint64)
-            for r, t in enumerate(batch.column(1).cast(pa.binary())):
-                h = shingle_hashes(t.as_py() or b"", shingle_words)
-                for k in range(seeds):
-                    fps[r, k] = majority(h if k == 0 else mix64(h ^ salts[k]))
-            node = np.zeros(len(fps), np.uint64)
-            for k in range(seeds):
-                node = mix64(node * np.uint64(3) + fps[:, k])
-            ends = pa.array(np.arange(len(fps) + 1, dtype=np.int32) * seeds)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(node.view(np.int64)), pa.ListArray.from_arrays(ends, pa.array(fps.reshape(-1).view(np.int64)))], names=["doc_id", "node", "fps"]
-            )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, node bigint, fps array<bigint>")
-
-
-def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, seeds: int = STAGE_SEEDS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
+            sets = [shingle_set(t, shingle_words) for t in batch.column(1).cast(pa.binary())]
+            mins = pa.array([min_hashes(h).tobytes() for h in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array([node_of(h) for h in sets], np.int64)), mins], names=["doc_id", "node", "mins"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, node bigint, mins binary")
+
+
+def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, less all but the least id of every group of near copies.
 
-    Two texts link when their fingerprints of ``seeds`` hash seeds differ, all together, in no more bits than texts
-    of ``similarity`` (Jaccard, of shingles) do on average; see ``similar_links`` for the pairs that meet.
+    Two texts link when the Jaccard similarity of their sets of shingles is ``similarity`` or more: min-hashes only
+    find the candidates (see ``candidates``; made for 0.8 and above), and the sets settle them.
     """
-    marks = checkpoint(signatures(docs, shingle_words, seeds))
-    nodes = checkpoint(marks.groupBy("node").agg(F.first("fps").alias("fps"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("least")))
-    labels = components(drawn_in(similar_links(nodes, nodes.count(), seeds, similarity))).withColumnRenamed("fp", "node")
+    marks = checkpoint(signatures(docs, shingle_words))
+    nodes = checkpoint(marks.groupBy("node").agg(F.first("mins").alias("mins"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("least")))
+    pairs = checkpoint(candidates(nodes, nodes.count()))
+    labels = components(drawn_in(settled_links(docs, pairs, shingle_words, similarity))).withColumnRenamed("fp", "node")
     kept = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct("least", "node")).alias("first"))
     kept = checkpoint(kept.select(F.col("first.least.doc_id").alias("__id"), F.col("first.node").alias("__node")))
     if marks.count() == marks.select("doc_id").distinct().count():
@@ -394,17 +466,9 @@ def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, s
 
     def sign(batches):
         for batch in batches:
-            nodes_of = pa.array(np.array([_node(t, shingle_words, seeds) for t in batch.column(at).cast(pa.binary())], np.uint64).view(np.int64))
+            nodes_of = pa.array(np.array([node_of(shingle_set(t, shingle_words)) for t in batch.column(at).cast(pa.binary())], np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, nodes_of], names=[*names, "__sig"])
 
     signed = docs.mapInArrow(sign, StructType([*docs.schema.fields, StructField("__sig", LongType())]))
     match = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__sig") == F.col("__node"))
     return signed.join(kept, match, "left_semi").dropDuplicates(["doc_id", "__sig"]).select(*names)
-
-
-def _node(text, shingle_words: int, seeds: int) -> int:
-    h = shingle_hashes(text.as_py() or b"", shingle_words)
-    node = np.zeros(1, np.uint64)
-    for k in range(seeds):
-        node = mix64(node * np.uint64(3) + np.uint64(majority(h if k == 0 else mix64(h ^ mix64(np.full(1, k, np.uint64))))))
-    return int(node[0])

@@ -89,3 +89,22 @@ def test_pipeline(spark):
         if name != "mix":
             assert 0.5 * n < docs.count() <= n
     assert corpus_pipeline.STAGES[4][1](spark, docs, SMALL).count() > 0
+
+
+def planted(changed, seed, words=200):
+    """Two texts of own words of which the second has words changed, and their exact similarity."""
+    rnd = random.Random(seed)
+    a = ["w%dx%d" % (seed, rnd.randrange(10**6)) for _ in range(words)]
+    b = list(a)
+    for k in rnd.sample(range(words), changed):
+        b[k] = "other%dx%d" % (seed, k)
+    x, y = ({tuple(t[i : i + 5]) for i in range(words - 4)} for t in (a, b))
+    return " ".join(a), " ".join(b), len(x & y) / len(x | y)
+
+
+def test_near_copies_are_exact(spark):
+    pairs = [planted(seed % 8 + 1, seed) for seed in range(200)]
+    assert sum(0.8 <= j < 0.85 for *_, j in pairs) >= 20 and sum(0.7 <= j < 0.8 for *_, j in pairs) >= 20
+    rows = [(2 * k + side, pair[side]) for k, pair in enumerate(pairs) for side in (0, 1)]
+    kept = {r.doc_id for r in simhash.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {2 * k for k in range(len(pairs))} | {2 * k + 1 for k, (*_, j) in enumerate(pairs) if j < 0.8}
