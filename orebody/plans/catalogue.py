@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orebody.config import AutoFeatureConfig, EntityConfig
-from orebody.functions.expr import as_double, clip
+from orebody.functions.expr import as_double, clip, numeric_columns
 from orebody.operators import advanced, composite, decision, filters, profile, stability, synthesis, themes, univariate
 from orebody.operators.entity import build_graph, semi_join
 from orebody.plans.frames import FRAMES_SQL, MATRIX_SQL, NUMERIC, frames, matrix, table
@@ -429,14 +429,21 @@ def near_dup_pairs(spark, sf_dir):
     return rounded(advanced.near_duplicates(matrix(spark, sf_dir), _DUP, 0.5))
 
 
+def offered(df: DataFrame) -> list[str]:
+    """All numeric features of the matrix."""
+    return [c for c in numeric_columns(df) if c not in (KEY, TARGET)]
+
+
 @query()
 def model_gain(spark, sf_dir):
-    return advanced.model_gain(matrix(spark, sf_dir), KEY, TARGET, ["order_count", "order_total"], ["last_day", "cashout_installments_late_ratio"], folds=2, trees=5, depth=3)
+    df, base = matrix(spark, sf_dir), ["order_count", "order_total"]
+    return advanced.model_gain(df, KEY, TARGET, base, [c for c in offered(df) if c not in base])
 
 
 @query()
 def forward_selection(spark, sf_dir):
-    return advanced.forward_selection(matrix(spark, sf_dir), KEY, TARGET, ["order_total", "last_day", "cashout_installments_late_ratio"], most=1, folds=2, trees=3, depth=3)
+    df = matrix(spark, sf_dir)
+    return advanced.forward_selection(df, KEY, TARGET, offered(df))
 
 
 def flagship(spark, sf_dir) -> DataFrame:

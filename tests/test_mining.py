@@ -8,8 +8,9 @@ import __spark_entry__
 from orebody import archive, registry
 from orebody.config import EntityConfig
 from orebody.functions.expr import long_form
-from orebody.operators import composite, decision, filters, profile, stability, synthesis, themes, univariate
+from orebody.operators import advanced, composite, decision, filters, profile, stability, synthesis, themes, univariate
 from orebody.operators.entity import build_graph, semi_join
+from orebody.plans import catalogue
 
 
 def test_entry_and_names(spark):
@@ -125,3 +126,19 @@ def test_registry_and_archive(tmp_path, capsys):
     folder = archive.archive(tmp_path, "First Run!")
     assert (folder / "project" / "outputs" / "selection").exists() and (tmp_path / "README.md").exists()
     assert all((tmp_path / "outputs" / n).is_dir() for n in archive.WORKSPACE) and "selected_feature_count" in (folder / "summary.md").read_text()
+
+
+def test_model_queries_run_whole(spark, monkeypatch):
+    calls = {}
+    for name in ("model_gain", "forward_selection"):
+        monkeypatch.setattr(advanced, name, lambda df, key, target, *features, _name=name, **model: calls.update({_name: (features, model)}))
+        catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+    numeric = {*catalogue.NUMERIC, "order_total_twice", "constant", "mostly_null"}
+    assert set(calls["forward_selection"][0][0]) == set().union(*calls["model_gain"][0]) == numeric
+    assert calls["forward_selection"][1] == calls["model_gain"][1] == {}
+
+
+def test_cross_auc_feature_of_one_fold(spark):
+    rows = [(f, k % 2, float(k), 1.0 if f == 0 else None) for f in range(2) for k in range(20)]
+    df = spark.createDataFrame(rows, "__fold int, y int, x double, once double")
+    assert 0 <= advanced.cross_auc(df, "y", ["x", "once"], folds=2, trees=2) <= 1
