@@ -108,3 +108,10 @@ def test_near_copies_are_exact(spark):
     rows = [(2 * k + side, pair[side]) for k, pair in enumerate(pairs) for side in (0, 1)]
     kept = {r.doc_id for r in simhash.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {2 * k for k in range(len(pairs))} | {2 * k + 1 for k, (*_, j) in enumerate(pairs) if j < 0.8}
+
+
+def test_near_copies_count_a_shingle_once(spark):
+    line = "one line that is repeated very often " * 200
+    a, b, _ = planted(200, 1, words=300)
+    rows = [(1, line + a), (2, line + b), (3, " ".join("z%d" % k for k in range(300)) + " " + line), (4, " ".join("z%d" % k for k in range(300)) + " " + line * 3)]
+    assert {r.doc_id for r in simhash.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {1, 2, 3}
