@@ -89,7 +89,7 @@ def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def training_rows(docs: DataFrame, labels: DataFrame, column: str, most: int, values: tuple[int, ...], prefixes: tuple[int, ...] = ()):
     """Features of a bounded sample of labelled rows that are not held out.
 
-    Returns (list of (ids, counts, statistics), labels).  For each value at most ``most`` rows are taken, in
+    Returns (list of (ids, statistics), labels).  For each value at most ``most`` rows are taken, in
     the order of a hash of the id, so that reruns agree; several labels of a document count as their maximum.
     """
     usable = labels.filter(~held_out() & F.col(column).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(column).cast("int")).alias("__y"))
@@ -104,38 +104,37 @@ def drawn(rows: DataFrame, n_rows: int, most: int, times: int = 3) -> DataFrame:
 
 
 def sampled_rows(docs: DataFrame, choices: list[DataFrame], most: int, prefixes: tuple[int, ...] = (), only_ids: bool = False):
-    """Features of at most ``most`` documents of each choice (tables of doc_id and __y); ``only_ids`` leaves
-    counts and statistics empty, which spares the driver's memory."""
+    """Features of at most ``most`` documents of each choice (tables of doc_id and __y); ``only_ids`` leaves the
+    statistics out.  Returns (list of (ids, statistics), labels); the rows are views of two flat arrays.
+    """
     parts = [c.select("doc_id", "__y").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in choices]
     chosen = parts[0]
     for p in parts[1:]:
         chosen = chosen.unionByName(p)
+    width = 0 if only_ids else N_STATS
 
     def extract(batches):
         for batch in batches:
             at = 0
-            for bounds, ids, counts, stats in rows_of(batch.column(2), prefixes):
+            for bounds, ids, _, stats in rows_of(batch.column(2), prefixes):
                 n = len(stats)
-                cut = bounds.astype(np.int32)
-                width = 0 if only_ids else N_STATS
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, n),
                         batch.column(1).slice(at, n),
-                        pa.ListArray.from_arrays(pa.array(cut), pa.array(ids)),
-                        pa.ListArray.from_arrays(pa.array(cut * (not only_ids)), pa.array(counts[: 0 if only_ids else None].astype(np.int32))),
+                        pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)),
                         pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(stats[:, :width].reshape(-1))),
                     ],
-                    names=["doc_id", "__y", "ids", "counts", "stats"],
+                    names=["doc_id", "__y", "ids", "stats"],
                 )
                 at += n
 
     # at most choices * most ids are broadcast, a bound that does not grow with the data
     joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "__y", "text")
-    table = joined.mapInArrow(extract, "doc_id bigint, __y int, ids array<int>, counts array<int>, stats array<double>").toArrow()
-    table = table.sort_by([("__y", "ascending"), ("doc_id", "ascending")]).combine_chunks()
-    rows = [
-        (np.asarray(i, np.int32), np.asarray(c, np.int32), np.asarray(s))
-        for i, c, s in zip(table["ids"].to_numpy(), table["counts"].to_numpy(), table["stats"].to_numpy())
-    ]
-    return rows, np.asarray(table["__y"].to_numpy(), np.int8)
+    table = joined.mapInArrow(extract, "doc_id bigint, __y int, ids array<int>, stats array<double>").toArrow()
+    ids, stats = table["ids"].combine_chunks(), table["stats"].combine_chunks()
+    y, doc_id = table["__y"].to_numpy().astype(np.int8), table["doc_id"].to_numpy()
+    order = np.lexsort((doc_id, y))
+    bounds, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+    stats = stats.values.to_numpy().reshape(len(table), width)
+    return [(flat[bounds[i] : bounds[i + 1]], stats[i]) for i in order.tolist()], y[order]

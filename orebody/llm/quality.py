@@ -71,7 +71,7 @@ def slots_of(bounds, ids, stats):
 
 
 def train(rows, labels: np.ndarray, rounds: int = 12, rate: float = 0.05, decay: float = 1e-5, seed: int = 0) -> Machine:
-    """Adagrad on the logistic loss, classes weighted alike. ``rows``: (ids, counts, statistics)."""
+    """Adagrad on the logistic loss, classes weighted alike. ``rows``: (ids, statistics)."""
     if len(set(labels.tolist())) < 2:
         return NOTHING
     rng = np.random.default_rng(seed)
@@ -84,7 +84,7 @@ def train(rows, labels: np.ndarray, rounds: int = 12, rate: float = 0.05, decay:
             lens = np.array([len(rows[i][0]) for i in part])
             bounds = np.concatenate([[0], np.cumsum(lens)])
             ids = np.concatenate([rows[i][0] for i in part])
-            bounds, slots, values = slots_of(bounds, ids, np.stack([rows[i][2] for i in part]))
+            bounds, slots, values = slots_of(bounds, ids, np.stack([rows[i][1] for i in part]))
             out, total = Machine(bias, machine.linear, machine.factors).raw(bounds, slots, values)
             g = (1 / (1 + np.exp(-np.clip(out, -30, 30))) - labels[part]) * weight[part] / len(part)
             row = np.repeat(np.arange(len(part)), np.diff(bounds))
