@@ -7,8 +7,10 @@ source in proportion.  The slots of a source are ranked, and rank k takes block
 A source leaves the schedule when its target is met (its last block is cut to fit); ranks that the
 points leave undealt, a few a source, are dealt at the end.
 
-Scale: positions are prefix sums in two levels (about sqrt(rows) hash ranges a source, then rows inside
-a range), so no task sees a whole source, however hot; slots are ranked the same way by chunks.
+Scale: a document becomes one narrow row, which is written once and read from there.  Positions are prefix
+sums in two levels (about sqrt(rows) hash ranges a source, then rows inside a range), so no task sees a whole
+source, however hot; slots are ranked the same way by chunks, sources numbered the same way by ranges of names.
+The level of the targets is found by rounds of one small aggregate each.
 
 Defined results: null text has size 0; null source is a source of its own, ordered last; a document of
 size 0 is kept with taken 0; rows with the same id and size are interchangeable; an empty table gives no
@@ -29,14 +31,18 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_WORDS = 256
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-#: Slots that are ranked together; cells of the table that maps points to sources.
+#: Slots that are ranked together.
 CHUNK = 4096
-GRID = 1024
+#: Cells of the table that maps points to sources, for few sources and for very many.
+GRID, LARGEST_GRID = 1 << 10, 1 << 20
+#: Sources that one task puts in order.
+SOURCES_A_TASK = 100_000
 #: The golden ratio less one, and the fraction of 2**20 times it (keeps i * phi exact to 1e-9 for 1e12 slots).
 PHI = 0.6180339887498949
 PHI_20 = (PHI * (1 << 20)) % 1.0
 
 _KEY = ["__src", "__nul"]
+_KEY_ORDER = ["__nul", "__src"]
 
 
 def sized(docs: DataFrame, n_ranges: int) -> DataFrame:
@@ -53,39 +59,56 @@ def sized(docs: DataFrame, n_ranges: int) -> DataFrame:
     )
 
 
-def targets(sources: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """(key, source_size) -> with rank, weight and target: shares by weight, capped, the excess reshared."""
-    by_name = Window.orderBy("__nul", "__src")
-    ratio = Window.orderBy("__ratio", "__sid")
-    ranked = sources.withColumn("__sid", F.row_number().over(by_name)).withColumn(
-        "__weight", F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("__sid") - 1) % len(weights) + 1).cast("long")
-    )
+def running(sources: DataFrame, value, name: str) -> DataFrame:
+    """Adds the sum of ``value`` over all sources up to each, in the order of name: inside parts, and over parts."""
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
+    parts = sources.groupBy("__part").agg(F.sum(value).alias("__sum")).select("__part", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("__part").orderBy(*_KEY_ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    return sources.withColumn(name, F.sum(value).over(inside)).join(parts, "__part").withColumn(name, F.col(name) + F.col("__before")).drop("__before")
+
+
+def numbered(sources: DataFrame, weights=WEIGHTS) -> DataFrame:
+    """(key, source_size) -> with part, rank by code point (null last) and weight."""
+    sources = checkpoint(sources)
+    dealt = sources.repartitionByRange(1 + sources.count() // SOURCES_A_TASK, *_KEY_ORDER)
+    ranked = running(checkpoint(dealt.withColumn("__part", F.spark_partition_id())), F.lit(1), "__sid")
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("__sid") - 1) % len(weights) + 1).cast("int"))
+    return ranked.withColumn("__weight", weight.cast("long"))
+
+
+def targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """Adds the target of numbered sources: shares by weight, capped, the excess reshared until none is above."""
     cap = F.col("source_size") * max_repeats
-    level = (F.sum("source_size").over(Window.partitionBy()) - (F.sum(cap).over(ratio.rowsBetween(Window.unboundedPreceding, 0)) - cap)).cast("double") / F.sum(
-        "__weight"
-    ).over(ratio.rowsBetween(0, Window.unboundedFollowing)).cast("double")
-    capped = ranked.withColumn("__ratio", cap.cast("double") / F.col("__weight").cast("double")).withColumn("__level", level)
-    water = F.min(F.when(F.col("__ratio") > F.col("__level"), F.struct("__ratio", "__sid", "__level"))).over(Window.partitionBy())["__level"]
-    full = F.col("__ratio") <= F.col("__level")
-    return capped.withColumn(
-        "target", F.when(full, cap.cast("double")).otherwise(F.col("__weight").cast("double") * F.coalesce(water, F.lit(0.0)))
-    ).select(*_KEY, "__sid", "source_size", "target")
-
-
-def plan(with_targets: DataFrame, block_words: int) -> DataFrame:
-    """Adds words to take, whole passes, rest, blocks, ranks and the interval of the unit line of each source."""
+    ratio = cap.cast("double") / F.col("__weight").cast("double")
+    size, weight = F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("__weight"), F.lit(0))
+    level, before = -1.0, -1
+    while True:  # a round fills the sources that the level covers; the level rises until it covers no more
+        full = ratio <= level
+        total, full_cap, open_weight, n_full = sources.agg(
+            size, F.coalesce(F.sum(F.when(full, cap)), F.lit(0)), F.coalesce(F.sum(F.when(~full, F.col("__weight"))), F.lit(0)), F.count(F.when(full, 1))
+        ).first()
+        if n_full == before or not open_weight:
+            break
+        level, before = float(total - full_cap) / float(open_weight), n_full
+    return sources.withColumn("target", F.when(ratio <= level, cap.cast("double")).otherwise(F.col("__weight").cast("double") * F.lit(level)))
+
+
+def plan(with_targets: DataFrame, block_words: int) -> tuple[DataFrame, int]:
+    """Adds words to take, whole passes, rest, blocks, ranks and the interval of the unit line of each source; and all ranks."""
     take = F.round("target").cast("long")
     size = F.col("source_size")
-    return (
+    ranked = (
         with_targets.withColumn("__take", take)
         .withColumn("__whole", F.when(size > 0, F.expr("__take div source_size")).otherwise(F.lit(0)).cast("long"))
         .withColumn("__rest", F.col("__take") - F.col("__whole") * size)
         .withColumn("__blocks", F.expr(f"(source_size + {block_words - 1}) div {block_words}"))
         .withColumn("__ranks", F.col("__whole") * F.col("__blocks") + F.expr(f"(__rest + {block_words - 1}) div {block_words}"))
-        .withColumn("__all", F.sum("__ranks").over(Window.partitionBy()))
-        .withColumn("__hi", F.sum("__ranks").over(Window.orderBy("__sid")).cast("double") / F.greatest(F.col("__all"), F.lit(1)).cast("double"))
-        .withColumn("__lo", F.coalesce(F.lag("__hi").over(Window.orderBy("__sid")), F.lit(0.0)))
     )
+    ranked = checkpoint(ranked)
+    n_slots = int(ranked.agg(F.coalesce(F.sum("__ranks"), F.lit(0))).first()[0])
+    line = running(ranked, F.col("__ranks"), "__hi")
+    share = lambda c: c.cast("double") / F.lit(float(max(n_slots, 1)))
+    return checkpoint(line.withColumn("__lo", share(F.col("__hi") - F.col("__ranks"))).withColumn("__hi", share(F.col("__hi")))), n_slots
 
 
 def schedule(sources: DataFrame, n_slots: int, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -95,15 +118,16 @@ def schedule(sources: DataFrame, n_slots: int, block_words: int = BLOCK_WORDS) -
     target are skipped; ranks that the points left undealt follow at the end, so targets are met exactly.
     """
     spark = sources.sparkSession
+    grid = min(LARGEST_GRID, max(GRID, 1 << (4 * sources.count()).bit_length()))
     point = F.expr(f"(id div 1048576) * {PHI_20}D + (id % 1048576) * {PHI}D + 0.5D")
     slots = spark.range(n_slots).select(
         F.col("id").alias("slot"), (point - F.floor(point)).alias("__x"), F.expr(f"id div {CHUNK}").alias("__chunk")
     )
     cells = sources.filter("__ranks > 0").select(
-        "__sid", "__lo", "__hi", F.explode(F.sequence(F.floor(F.col("__lo") * GRID), F.least(F.floor(F.col("__hi") * GRID), F.lit(GRID - 1)))).alias("__cell")
+        "__sid", "__lo", "__hi", F.explode(F.sequence(F.floor(F.col("__lo") * grid), F.least(F.floor(F.col("__hi") * grid), F.lit(grid - 1)))).alias("__cell")
     )
     dealt = (
-        slots.withColumn("__cell", F.least(F.floor(F.col("__x") * GRID), F.lit(GRID - 1)))
+        slots.withColumn("__cell", F.least(F.floor(F.col("__x") * grid), F.lit(grid - 1)))
         .join(cells, "__cell")
         .filter("__x >= __lo AND __x < __hi")
         .select("slot", "__chunk", "__sid")
@@ -140,25 +164,22 @@ def schedule(sources: DataFrame, n_slots: int, block_words: int = BLOCK_WORDS) -
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, size, source_size, target and taken (words that the mix takes, repeats counted) of every row.
 
-    ``docs`` needs doc_id, text and source.  Two small driver actions size the hash ranges and the
-    schedule; both return one number.
+    ``docs`` needs doc_id, text and source.  A few small driver actions size the hash ranges, the targets and the
+    schedule; each returns one row of numbers.
     """
-    spark = docs.sparkSession
-    n_docs = docs.count()
-    n_ranges = max(1, math.isqrt(n_docs))
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    rows = sized(docs, n_ranges).repartition(n_parts, "__src", "__nul", "__range")
+    n_ranges = max(1, math.isqrt(docs.count()))
+    rows = checkpoint(sized(docs, n_ranges))  # the only reading of the texts
     key = [*_KEY, "__range"]
     ranges = rows.groupBy(*key).agg(F.sum("size").alias("__sum"))
     by_source = Window.partitionBy(*_KEY)
     starts = ranges.withColumn("__start", F.sum("__sum").over(by_source.orderBy("__range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__sum"))
-    sources = plan(targets(ranges.groupBy(*_KEY).agg(F.sum("__sum").alias("source_size")), weights, max_repeats), block_words)
-    sources = checkpoint(sources)  # read for the slot count, the schedule and the documents
-    n_slots = int(sources.agg(F.coalesce(F.max("__all"), F.lit(0))).first()[0])
+    sources, n_slots = plan(targets(numbered(rows.groupBy(*_KEY).agg(F.sum("size").alias("source_size")), weights), max_repeats), block_words)
     dealt = schedule(sources, n_slots, block_words)
-    blocks = dealt.groupBy("__sid", "block").agg(
-        F.sum(F.when(F.col("hi") == F.col("__end"), 1).otherwise(0)).alias("__passes"),
-        F.max(F.when(F.col("hi") < F.col("__end"), F.col("hi"))).alias("__cut"),
+    blocks = checkpoint(
+        dealt.groupBy("__sid", "block").agg(
+            F.sum(F.when(F.col("hi") == F.col("__end"), 1).otherwise(0)).alias("__passes"),
+            F.max(F.when(F.col("hi") < F.col("__end"), F.col("hi"))).alias("__cut"),
+        )
     )
     info = starts.join(sources.select(*_KEY, "__sid", "source_size", "target"), _KEY).drop("__sum")
     here = Window.partitionBy(*key).orderBy("__order", "doc_id", "size")
@@ -184,20 +205,24 @@ def take_documents(docs: DataFrame, **params) -> DataFrame:
     """The mixed documents themselves, with the input's columns: a row for each whole pass over a document and,
     for the one document a source that the target cuts, a row of its first words.
 
-    Rows with equal id and content share what they take equally, in whole rows.
+    Rows with equal id, text and source are one document in several rows: they share its words equally, and what
+    does not divide goes into rows of their own, so that no word of the mix is lost.
     """
     columns = docs.columns
     docs = docs.withColumn("__hash", F.xxhash64("text", "source"))
     keyed = docs.select(F.struct(F.col("doc_id"), F.col("__hash")).alias("doc_id"), "text", "source")
     taken = mix(keyed, **params).select(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.__hash").alias("__h"), "size", "taken")
-    taken = taken.groupBy("__id", "__h", "size").agg(F.expr("sum(taken) div count(*)").alias("taken")).filter("taken > 0")
-    rest = F.expr("taken % size")
-    passes = F.expr("taken div size").cast("int")
-    cut = F.array_join(F.slice(F.split(F.trim("text"), r"[\x20\x09-\x0D]+"), F.lit(1), rest.cast("int")), " ")
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")))
-    copies = joined.withColumn("__whole", F.explode(F.concat(F.array_repeat(F.lit(True), passes), F.array_repeat(F.lit(False), F.when(rest > 0, 1).otherwise(0)))))
-    text = F.when(F.col("__whole"), F.col("text")).otherwise(cut)
-    copies = copies.withColumn("text", text)
+    taken = checkpoint(taken.groupBy("__id", "__h", "size").agg(F.sum("taken").alias("__all"), F.count("*").alias("__rows")).filter("__all > 0"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
+    rows = docs.join(taken.select("__id", "__h", "size", F.expr("__all div __rows").alias("__words")), same)
+    left = taken.filter("__all % __rows > 0").select("__id", "__h", "size", F.expr("__all % __rows").alias("__words"))
+    if not left.isEmpty():
+        rows = rows.unionByName(docs.join(left, same).dropDuplicates(["__id", "__h"]))
+    rest = F.expr("__words % size")
+    passes = F.expr("__words div size").cast("int")
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)), F.lit(1), rest.cast("int")), " ")
+    copies = rows.withColumn("__whole", F.explode(F.concat(F.array_repeat(F.lit(True), passes), F.array_repeat(F.lit(False), F.when(rest > 0, 1).otherwise(0)))))
+    copies = copies.withColumn("text", F.when(F.col("__whole"), F.col("text")).otherwise(cut))
     if "n_chars" in columns:
-        copies = copies.withColumn("n_chars", F.when(F.col("__whole"), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        copies = copies.withColumn("n_chars", F.when(F.col("__whole"), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return copies.select(*columns)

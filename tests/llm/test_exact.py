@@ -152,6 +152,51 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixed_documents(spark):
+    """Every word of the mix is there once a pass: texts that begin with blanks, repeated rows, a source that is cut."""
+    rows = [(i, "\n " + " ".join(f"d{i}w{k}" for k in range(i % 9 + 3)) + "\t", "abc"[i % 3], 5) for i in range(60)]
+    rows += [(99, "\nfirst second third fourth fifth", "a", 6)] * 7 + [(98, "\x0b", "b", 1), (97, None, None, 0), (None, "no id\there", "c", 9)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    source = {i: s for i, _, s, _ in rows}
+    want = {source[r.doc_id]: round(r.target) for r in mixing.mix(docs, block_words=8).collect() if r.target >= 0.5}
+    got, texts = {}, {i: (t or "").split() for i, t, _, _ in rows}
+    found = mixing.take_documents(docs, block_words=8)
+    assert found.schema == docs.schema
+    for r in found.collect():
+        words = (r.text or "").split()
+        assert words and words == texts[r.doc_id][: len(words)]
+        got[source[r.doc_id]] = got.get(source[r.doc_id], 0) + len(words)
+    assert got == want
+    assert mixing.take_documents(docs.limit(0)).count() == 0
+
+
+def test_targets_of_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SOURCES_A_TASK", 7)  # several parts
+    rnd = random.Random(7)
+    rows = [(i, "w " * rnd.choice([1, 2, 3, 50, 400]), "s%03d" % rnd.randrange(60)) for i in range(300)] + [(900, "a b c", None)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_words=16).collect()
+    size = {}
+    for _, t, s in rows:
+        size[s] = size.get(s, 0) + len(t.split())
+    names = sorted(x for x in size if x is not None) + [None]
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    full = set()
+    while True:
+        level = (sum(size.values()) - sum(3 * size[s] for s in full)) / sum(weight[s] for s in names if s not in full)
+        more = {s for s in names if 3 * size[s] <= weight[s] * level}
+        if more == full:
+            break
+        full = more
+    want = {s: 3.0 * size[s] if s in full else weight[s] * level for s in names}
+    assert full and len(full) < len(names)
+    source = {i: s for i, _, s in rows}
+    taken = dict.fromkeys(names, 0)
+    for r in got:
+        assert abs(r.target - want[source[r.doc_id]]) < 1e-6 and r.source_size == size[source[r.doc_id]]
+        taken[source[r.doc_id]] += r.taken
+    assert all(abs(taken[s] - want[s]) <= 1 for s in names)
+
+
 def test_packing(spark, odd):
     import base64
 
