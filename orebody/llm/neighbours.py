@@ -53,7 +53,7 @@ CELL_RECALL = 0.95
 #: Standard deviations of a coded score's error that an entry may lie off and still be scored exactly.
 DOUBT = 1.0
 #: Rows of a part: as many as give each shuffle partition one, between these bounds.
-LEAST_PART_ROWS, PART_ROWS = 2048, 131_072
+LEAST_PART_ROWS, PART_ROWS = 512, 131_072
 #: Queries that meet a part's entries at once; bounds memory.
 QUERY_CHUNK = 64
 
