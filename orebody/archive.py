@@ -12,7 +12,7 @@ from pathlib import Path
 from orebody.sources import io
 
 WORKSPACE = ("reports", "data", "proposed_features")
-SUMMARIES = {"candidate": "candidate_pool/candidate_summary.json", "selection": "selection/selection_summary.json"}
+SUMMARIES = {"candidate": "candidate_pool/candidate_pool_summary.json", "selection": "selection/feature_selection_report.json"}
 
 
 def slug(text: str) -> str:

@@ -24,7 +24,8 @@ class AutoFeatureConfig:
     agg_primitives: tuple[str, ...] = ("sum", "mean", "max", "min", "std", "count", "num_unique")
     trans_primitives: tuple[str, ...] = ("absolute",)
     max_depth: int = 2
-    sample_size: int | None = 3000
+    #: Rows of the target entity that a candidate run synthesises for; all, if not set.
+    sample_size: int | None = None
     random_seed: int = 42
 
 

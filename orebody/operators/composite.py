@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orebody.functions.expr import clip, coalesce0, nullif0
+from orebody.sources import io
+
+SPEC_COLUMNS = "feature_name string, formula string, base_features string, business_definition string, risk_direction string, notes string"
 
 
 @dataclass(frozen=True)
@@ -20,10 +23,11 @@ class CompositeSpec:
     risk_direction: str = ""
     notes: str = ""
 
+    def row(self) -> tuple:
+        return (self.feature_name, self.formula, ",".join(self.base_features), self.business_definition, self.risk_direction, self.notes)
+
     def to_frame(self, spark) -> DataFrame:
-        schema = "feature_name string, formula string, base_features string, business_definition string, risk_direction string, notes string"
-        row = (self.feature_name, self.formula, ",".join(self.base_features), self.business_definition, self.risk_direction, self.notes)
-        return spark.createDataFrame([row], schema)
+        return spark.createDataFrame([self.row()], SPEC_COLUMNS)
 
 
 class FormulaError(ValueError):
@@ -102,7 +106,7 @@ class CompositeFeatures:
     rejected: list[tuple[str, str]]
 
 
-def build_composites(df: DataFrame, specs: list[CompositeSpec]) -> CompositeFeatures:
+def build_composites(df: DataFrame, specs: list[CompositeSpec], output: str | None = None) -> CompositeFeatures:
     """Adds the specs in order (later ones may use earlier ones); those that fail are listed with the reason."""
     valid, rejected = [], []
     for s in specs:
@@ -115,9 +119,52 @@ def build_composites(df: DataFrame, specs: list[CompositeSpec]) -> CompositeFeat
             df, valid = made, [*valid, s]
         except Exception as e:  # noqa: BLE001  any failure rejects this spec only
             rejected.append((s.feature_name, str(e).splitlines()[0]))
+    if output:
+        io.write_matrix(df, f"{output}/composite_feature_matrix.parquet")
+        io.write_report(specs_frame(df.sparkSession, valid), f"{output}/composite_feature_specs.csv")
     return CompositeFeatures(df, valid, rejected)
 
 
+def specs_frame(spark, specs: list[CompositeSpec]) -> DataFrame:
+    """One row a spec."""
+    return spark.createDataFrame([s.row() for s in specs], SPEC_COLUMNS)
+
+
+def example_specs() -> list[CompositeSpec]:
+    """A ratio, a guarded quotient, an interaction and a rule, over the credit schema."""
+    return [
+        CompositeSpec(
+            "composite_credit_usage_ratio",
+            "np.where(fillna(AMT_CREDIT_LIMIT_ACTUAL, 0) != 0, fillna(AMT_BALANCE, 0) / fillna(AMT_CREDIT_LIMIT_ACTUAL, 0), np.nan)",
+            ("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL"),
+            "share of the card's limit in use",
+            "higher_is_riskier",
+        ),
+        CompositeSpec(
+            "composite_income_to_annuity_ratio",
+            "np.where(fillna(AMT_ANNUITY, 0) == 0, np.nan, fillna(AMT_INCOME_TOTAL, 0) / fillna(AMT_ANNUITY, 0))",
+            ("AMT_INCOME_TOTAL", "AMT_ANNUITY"),
+            "how often the income covers a year's payments",
+            "lower_is_riskier",
+            "under 2 is strained",
+        ),
+        CompositeSpec(
+            "composite_velocity_x_external",
+            "fillna(prev_app_count_30d, 0) * (1 - fillna(EXT_SOURCE_2, 0))",
+            ("prev_app_count_30d", "EXT_SOURCE_2"),
+            "recent applications weighed by the external score",
+            "higher_is_riskier",
+        ),
+        CompositeSpec(
+            "composite_high_risk_flag",
+            "np.where((fillna(prev_reject_count, 0) > 0) & (fillna(EXT_SOURCE_1, 0) < 0.3), 1, 0)",
+            ("prev_reject_count", "EXT_SOURCE_1"),
+            "refused before and a low external score",
+            "higher_is_riskier",
+        ),
+    ]
+
+
 def cross(a: str, b: str, operator: str = "*") -> Column:
     """Nulls count as 0; a zero divisor gives null; an unknown operator multiplies."""
     x, y = (coalesce0(F.col(f"`{c}`").cast("double")) for c in (a, b))

@@ -46,10 +46,10 @@ def legacy_decide(scorecard: DataFrame, baseline: float, min_auc: float = 0.52,
     return scorecard.withColumn("selected_flag", good).withColumn("drop_reason", F.when(good, "").otherwise("weak_univariate_signal"))
 
 
-def final_report(scorecard: DataFrame, drops: DataFrame, include_dropped: bool = True) -> DataFrame:
-    """The scorecard with the drop report's reasons; filtered features follow as rows of their own."""
+def final_report(scorecard: DataFrame, drops: DataFrame, include_dropped: bool = False) -> DataFrame:
+    """The scorecard with the drop report's reasons; filtered features follow as rows of their own if asked."""
     known = drops.select("feature_name", F.col("drop_reason").alias("filter_reason"))
-    out = scorecard.join(known, "feature_name", "full" if include_dropped else "left")
+    out = scorecard.join(F.broadcast(known), "feature_name", "left") if not include_dropped else scorecard.join(known, "feature_name", "full")
     return out.withColumn("drop_reason", F.coalesce(F.nullif(F.col("drop_reason"), F.lit("")), "filter_reason", F.lit(""))).drop("filter_reason")
 
 
@@ -73,8 +73,8 @@ def select_features(df: DataFrame, key: str, target: str, config: SelectionConfi
     df = checkpoint(df)
     filtered = filters.basic_filters(df, key, target, config.missing_threshold, config.corr_threshold)
     card = decide(univariate.evaluate(filtered.matrix, key, target, filtered.kept, config.topk_ratio), config, stability)
-    card = card.sparkSession.createDataFrame(card.collect(), card.schema)  # a row a feature, read several times below
-    rows = card.collect()
+    rows = card.collect()  # a row a feature, read several times below
+    card = card.sparkSession.createDataFrame(rows, card.schema)
     chosen = {r["feature_name"] for r in rows if r["selected_flag"]}
     matrix = df.select(key, target, *[c for c in filtered.kept if c in chosen])
     count = lambda c: {v: sum(r[c] == v for r in rows) for v in sorted({r[c] for r in rows})}
@@ -91,11 +91,11 @@ def select_features(df: DataFrame, key: str, target: str, config: SelectionConfi
     result = SelectionResult(matrix, card, filtered.drops, groups, final_report(card, filtered.drops), summary)
     if paths:
         out = paths.selection_dir
-        io.write_matrix(matrix, f"{out}/selected_features")
-        for name, table in (("scorecard", card), ("drop_report", filtered.drops), ("correlation_groups", groups), ("final_report", result.report)):
-            io.write_report(table, f"{out}/{name}")
-        io.write_json(summary, f"{out}/selection_summary.json")
-        io.write_text(selection_report(result), f"{out}/selection_report.md")
+        io.write_matrix(matrix, f"{out}/selected_features.parquet")
+        for name, table in (("feature_scorecard", card), ("dropped_by_basic_filters", filtered.drops), ("correlation_groups", groups), ("feature_selection_report", result.report)):
+            io.write_report(table, f"{out}/{name}.csv")
+        io.write_json(summary, f"{out}/feature_selection_report.json")
+        io.write_text(selection_report(result), f"{out}/feature_selection_report.md")
     return result
 
 

@@ -8,7 +8,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebody.functions.expr import as_double, average_rank, correlation, long_form, numeric_columns
+from orebody.functions.expr import as_double, average_ranks, correlation, counted, long_form, numeric_columns
+from orebody.sources.shared import checkpoint
 
 DROPS = "feature_name string, drop_reason string"
 #: Pairs in one aggregate.
@@ -63,18 +64,28 @@ def spearman_pairs(df: DataFrame, key: str, features: list[str]) -> DataFrame:
     broken = [(a, b) for a, b in combinations(features, 2) if rates[a] or rates[b]]
     out = spark.createDataFrame([], "feature_a string, feature_b string, correlation double")
     if len(whole) > 1:
-        ranks = long_form(df, whole, [key]).select(key, "feature", average_rank(["feature"], "x").alias("r"))
+        rows = long_form(df, whole, [key])
+        ranks = rows.join(average_ranks(counted(rows, ["feature"]), ["feature"]), ["feature", "x"]).select(key, "feature", "r")
         wide = ranks.groupBy(key).pivot("feature", whole).agg(F.first("r"))
         out = out.unionByName(pearson_pairs(wide, whole))
+    by = ["feature_a", "feature_b"]
     for i in range(0, len(broken), CHUNK):
         cells = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), as_double(df, a).alias("x"), as_double(df, b).alias("y")) for a, b in broken[i : i + CHUNK]])
-        rows = df.select(F.inline(cells)).filter("x IS NOT NULL AND y IS NOT NULL")
-        by = ["feature_a", "feature_b"]
-        ranked = rows.select(*by, average_rank(by, "x").alias("rx"), average_rank(by, "y").alias("ry"))
-        out = out.unionByName(ranked.groupBy(*by).agg(correlation(F.col("rx"), F.col("ry")).alias("correlation")))
+        # equal pairs of values are counted together first: ranks and sums then work on these
+        joint = checkpoint(df.select(F.inline(cells)).filter("x IS NOT NULL AND y IS NOT NULL").groupBy(*by, "x", "y").agg(F.count("*").alias("w")))
+        rank = lambda v: average_ranks(joint.groupBy(*by, v).agg(F.sum("w").alias("n")), by, v).withColumnRenamed("r", f"r{v}")  # noqa: E731, B023
+        ranked = joint.join(rank("x"), [*by, "x"]).join(rank("y"), [*by, "y"])
+        out = out.unionByName(ranked.groupBy(*by).agg(weighted_correlation("rx", "ry", "w").alias("correlation")))
     return out
 
 
+def weighted_correlation(x: str, y: str, w: str):
+    """Pearson correlation of x and y, each row standing for w rows; null where either is constant."""
+    n, a, b = F.sum(w), F.sum(F.col(w) * F.col(x)), F.sum(F.col(w) * F.col(y))
+    spread = lambda total, square: F.sqrt(F.greatest(n * square - total * total, F.lit(0.0)))
+    return F.try_divide(n * F.sum(F.col(w) * F.col(x) * F.col(y)) - a * b, spread(a, F.sum(F.col(w) * F.col(x) * F.col(x))) * spread(b, F.sum(F.col(w) * F.col(y) * F.col(y))))
+
+
 def prune(features: list[str], pairs: list[tuple[str, str, float | None]], threshold: float) -> list[tuple[str, str]]:
     """(dropped, earliest feature that it follows), in column order; that feature may be dropped itself."""
     rho = {(a, b): abs(r) for a, b, r in pairs if r is not None}

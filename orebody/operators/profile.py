@@ -12,6 +12,8 @@ from orebody.sources import io
 
 HIGH_NULL = 0.5
 ORPHANS = 0.01
+#: Columns in one aggregate of distinct counts.
+CHUNK = 16
 
 
 def key_like(name: str) -> bool:
@@ -120,30 +122,41 @@ def relationships(tables: dict[str, DataFrame], rule=key_like) -> DataFrame:
     return out
 
 
+def first_values(df: DataFrame, column: str, n: int = 3) -> list[str]:
+    """The first present values of a column, as text, in the order of the table's partitions; reads no further than it must."""
+    x = F.col(f"`{column}`")
+    return [r[0] for r in df.select(x.cast("string")).filter(x.isNotNull()).limit(n).collect()]
+
+
 def column_quality(df: DataFrame) -> DataFrame:
-    """dtype, nulls, distinct values, three samples and, of numeric columns, min, max and mean; one aggregate."""
+    """dtype, nulls, distinct values, the first three present values and, of numeric columns, min, max and mean.
+
+    Counting distinct values of several columns at once sends each row once a column, so wide tables are cut.
+    """
     numeric = set(numeric_columns(df))
-    cells = []
-    for c, kind in df.dtypes:
-        x = F.col(f"`{c}`")
-        number = x.cast("double") if c in numeric and kind != "boolean" else F.lit(None).cast("double")
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(kind).alias("dtype"),
-                (F.count("*") - F.count(x)).alias("null_count"),
-                F.count("*").alias("__n"),
-                F.count_distinct(x).alias("unique_count"),
-                F.slice(F.array_sort(F.collect_set(F.when(F.col("__sample"), x.cast("string")))), 1, 3).alias("sample_values"),
-                F.min(number).alias("min"),
-                F.max(number).alias("max"),
-                F.avg(number).alias("mean"),
+    out = None
+    for i in range(0, len(df.columns), CHUNK):
+        cells = []
+        for c, kind in df.dtypes[i : i + CHUNK]:
+            x = F.col(f"`{c}`")
+            number = x.cast("double") if c in numeric and kind != "boolean" else F.lit(None).cast("double")
+            cells.append(
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.lit(kind).alias("dtype"),
+                    (F.count("*") - F.count(x)).alias("null_count"),
+                    F.count("*").alias("__n"),
+                    F.count_distinct(x).alias("unique_count"),
+                    F.array(*[F.lit(v) for v in first_values(df, c)]).cast("array<string>").alias("sample_values"),
+                    F.min(number).alias("min"),
+                    F.max(number).alias("max"),
+                    F.avg(number).alias("mean"),
+                )
             )
-        )
-    sampled = df.withColumn("__sample", F.monotonically_increasing_id() % (1 << 33) < 3)
-    rows = sampled.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+        part = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+        out = part if out is None else out.unionByName(part)
     share = lambda c: F.coalesce(F.round(F.try_divide(F.col(c).cast("double"), F.col("__n")), 4), F.lit(0.0))
-    return rows.select("column", "dtype", "null_count", share("null_count").alias("null_rate"), "unique_count", share("unique_count").alias("unique_rate"), "sample_values", "min", "max", "mean")
+    return out.select("column", "dtype", "null_count", share("null_count").alias("null_rate"), "unique_count", share("unique_count").alias("unique_rate"), "sample_values", "min", "max", "mean")
 
 
 def table_summary(df: DataFrame, rule=key_like) -> dict:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebody.functions.expr import long_form, numeric_columns
+from orebody.functions.expr import counted, long_form, numeric_columns, quantiles
 from orebody.operators.univariate import bin_of, edges
 from orebody.sources import io
 
@@ -76,10 +76,11 @@ def time_splits(df: DataFrame, time_col: str, n_splits: int = 3) -> DataFrame:
     kind = dict(df.dtypes)[time_col]
     t = F.col(f"`{time_col}`").cast("timestamp").cast("double") if kind.startswith(("timestamp", "date")) else F.col(f"`{time_col}`").cast("double")
     rows = df.withColumn("__t", t).filter("__t IS NOT NULL")
-    q = rows.agg(F.percentile("__t", F.array(*[F.lit(i / n_splits) for i in range(1, n_splits)])).alias("q")).first()["q"]
+    times = counted(rows.withColumn("__all_rows", F.lit(0)), ["__all_rows"], "__t")
+    q = quantiles(times, ["__all_rows"], [i / n_splits for i in range(1, n_splits)], "__t").first()
     if q is None:
         raise ValueError(f"no times in {time_col}")
-    return rows.withColumn("split_index", sum((F.col("__t") > v).cast("int") for v in q)).drop("__t")
+    return rows.withColumn("split_index", sum((F.col("__t") > v).cast("int") for v in q["q"])).drop("__t")
 
 
 def time_stability(df: DataFrame, time_col: str, n_splits: int = 3, features: list[str] | None = None, drop: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
@@ -131,9 +132,10 @@ def run_checks(df: DataFrame, time_col: str | None = None, slice_col: str | None
         counts = summary.agg(F.count_distinct("feature_name").alias("total_features_checked"), *[F.count_if(F.col("stability_level") == v).alias(v) for v in ("stable", "moderate", "unstable")]).first().asDict()
     report = stability_report(summary, counts)
     if output:
-        for name, table in (("time_stability", time_detail), ("slice_consistency", slice_detail), ("stability_summary", summary)):
-            if table is not None:
-                io.write_report(table, f"{output}/{name}")
+        for name, detail in (("time_stability", time_detail), ("slice_consistency", slice_detail)):
+            if detail is not None:
+                io.write_report(detail, f"{output}/{name}_detail.csv")
+                io.write_report(summarise(detail), f"{output}/{name}_summary.csv")
         io.write_text(report, f"{output}/stability_report.md")
     return StabilityResult(time_detail, slice_detail, summary, counts, report)
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orebody.functions.expr import coalesce0, count_if, nullif0, ratio, true_int
+from orebody.functions.expr import count_if, nullif0, ratio, true_int
 
 #: Table names that stand for each other.
 ALIASES = {
@@ -234,22 +234,3 @@ def semantic_features(frames: dict[str, DataFrame], anchor: DataFrame, themes: l
         new = [c for c in features.columns if c not in out.columns]
         out, used = out.join(features.select(key, *new), key, "left"), [*used, name]
     return SemanticFeatures(out, registry_frame(anchor.sparkSession, get_registry().specs(used) if used else []), skipped)
-
-
-def acceleration(short: str, long: str, short_days: int = 30, long_days: int = 60):
-    """Extension: A / (B - A), scaled to equal spans."""
-    return ratio(coalesce0(F.col(short)), coalesce0(F.col(long)) - coalesce0(F.col(short))) * (long_days / short_days - 1)
-
-
-def velocity_extensions(prev: DataFrame, bureau: DataFrame | None = None) -> DataFrame:
-    """Extension: 90-day counts, the least gap and bursts of at most three days."""
-    gap = F.abs(F.col("DAYS_DECISION") - F.lag("DAYS_DECISION").over(Window.partitionBy(CURR).orderBy("DAYS_DECISION")))
-    out = prev.withColumn("__gap", gap).groupBy(CURR).agg(
-        count_if(F.col("DAYS_DECISION") >= -90).alias("velocity_prev_count_90d"),
-        F.min("__gap").alias("velocity_prev_decision_gap_min"),
-        true_int(F.min("__gap") <= 3).alias("velocity_prev_burst_flag"),
-    )
-    if bureau is not None:
-        more = bureau.groupBy(CURR).agg(count_if(F.col("DAYS_CREDIT") >= -7).alias("velocity_bureau_recent_credit_count_7d"))
-        out = out.join(more, CURR, "full")
-    return out

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orebody.functions.expr import long_form, numeric_columns, prefix_sums
+from orebody.functions.expr import counted, long_form, numbered, numeric_columns, prefix_sums, quantiles
 from orebody.sources.shared import checkpoint
 
 LIFT_SHARE = 0.10
@@ -20,7 +20,7 @@ FLOOR = 1e-10
 def coded(df: DataFrame, column: str) -> DataFrame:
     """(value, code): each string, null as MISSING, and its place among the sorted distinct values."""
     values = df.select(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(MISSING)).alias("value")).distinct()
-    return values.withColumn("code", (F.row_number().over(Window.orderBy("value")) - 1).cast("double"))
+    return numbered(values, [], ["value"], "code").withColumn("code", (F.col("code") - 1).cast("double"))
 
 
 def scores(df: DataFrame, key: str, target: str, features: list[str]) -> DataFrame:
@@ -32,8 +32,8 @@ def scores(df: DataFrame, key: str, target: str, features: list[str]) -> DataFra
     out = None
     if numeric:
         rows = long_form(base, numeric, ["id", "y"])
-        medians = rows.groupBy("feature").agg(F.coalesce(F.median("x"), F.lit(0.0)).alias("m"))
-        out = rows.join(F.broadcast(medians), "feature").select("id", "y", "feature", F.coalesce("x", "m").alias("x"))  # a row a feature
+        medians = quantiles(counted(rows, ["feature"]), ["feature"], [0.5]).select("feature", F.col("q")[0].alias("m"))  # a row a feature
+        out = rows.join(F.broadcast(medians), "feature", "left").select("id", "y", "feature", F.coalesce("x", "m", F.lit(0.0)).alias("x"))
     for c in texts:
         codes = coded(base, c)
         part = base.select("id", "y", F.lit(c).alias("feature"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING)).alias("value")).join(codes, "value")
@@ -45,7 +45,7 @@ def scores(df: DataFrame, key: str, target: str, features: list[str]) -> DataFra
 def ranking(rows: DataFrame) -> DataFrame:
     """feature, n, pos, auc, ap_up and ap_down (average precision of x and of -x); neutral for one class or one value."""
     groups = rows.groupBy("feature", "x").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
-    run = prefix_sums(groups, "feature", "x", ["p", "n"])
+    run = prefix_sums(groups, ["feature"], "x", ["p", "n"])
     totals = rows.groupBy("feature").agg(F.sum("y").alias("pos_all"), F.count("*").alias("n_all"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     run = run.join(F.broadcast(totals), "feature")
     p, n = F.col("p").cast("double"), F.col("n").cast("double")
@@ -79,19 +79,20 @@ def top_share(rows: DataFrame, ranked: DataFrame, share: float) -> DataFrame:
     sign = ranked.select("feature", F.when(F.col("ap_up") >= F.col("ap_down"), 1.0).otherwise(-1.0).alias("sign"), F.greatest(F.lit(1), F.floor(F.col("n").cast("double") * share)).cast("long").alias("top"))
     signed = rows.join(F.broadcast(sign), "feature").withColumn("s", -F.col("x") * F.col("sign"))
     groups = signed.groupBy("feature", "s", "top").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
-    run = prefix_sums(groups, "feature", "s", ["n"])
+    run = prefix_sums(groups, ["feature"], "s", ["n"])
     inside = run.filter("n_below + n <= top").groupBy("feature").agg(F.sum("p").alias("p_in"))
     edge = run.filter("n_below < top AND n_below + n > top").select("feature", "s", (F.col("top") - F.col("n_below")).alias("take"))
-    at_edge = signed.select("feature", "s", "id", "y").join(edge, ["feature", "s"])
-    at_edge = at_edge.withColumn("k", F.row_number().over(Window.partitionBy("feature").orderBy("id"))).filter("k <= take").groupBy("feature").agg(F.sum("y").alias("p_edge"))
+    at_edge = signed.select("feature", "s", "id", "y").join(F.broadcast(edge), ["feature", "s"]).select("feature", "id", "y", "take")  # an edge a feature
+    at_edge = numbered(at_edge, ["feature"], ["id"], "k").filter("k <= take").groupBy("feature").agg(F.sum("y").alias("p_edge"))
     out = sign.join(inside, "feature", "left").join(at_edge, "feature", "left")
     return out.select("feature", "top", (F.coalesce("p_in", F.lit(0)) + F.coalesce("p_edge", F.lit(0))).alias("hits"))
 
 
 def edges(rows: DataFrame, by: list[str], bins: int = 10) -> DataFrame:
     """by, edges: the distinct inner quantiles strictly between least and greatest x."""
-    steps = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    found = rows.groupBy(*by).agg(F.percentile("x", steps).alias("q"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    counts = checkpoint(counted(rows, by))
+    ends = counts.groupBy(*by).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    found = quantiles(counts, by, [i / bins for i in range(1, bins)]).join(F.broadcast(ends), by)
     return found.select(*by, F.array_sort(F.array_distinct(F.filter("q", lambda e: (e > F.col("lo")) & (e < F.col("hi"))))).alias("edges"))
 
 

@@ -9,7 +9,7 @@ from orebody.config import AutoFeatureConfig, EntityConfig
 from orebody.functions.expr import as_double, clip, numeric_columns
 from orebody.operators import advanced, composite, decision, filters, profile, stability, synthesis, themes, univariate
 from orebody.operators.entity import build_graph, semi_join
-from orebody.plans.frames import FRAMES_SQL, MATRIX_SQL, NUMERIC, frames, matrix, table
+from orebody.plans.frames import FRAMES_SQL, MATRIX_SQL, NUMERIC, frames, matrix, table, with_signal
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
 QUERIES, ORACLE_SQL = {}, {}
@@ -110,9 +110,9 @@ def relationships(spark, sf_dir):
 # entities and synthesis
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0)")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def entity_child_semijoin(spark, sf_dir):
-    root = table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0")
+    root = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
     return semi_join(table(spark, sf_dir, "orders"), "o_custkey", root, "c_custkey").select("o_orderkey", "o_custkey")
 
 
@@ -125,9 +125,9 @@ def tree(spark, sf_dir, root: DataFrame | None = None):
     return build_graph(spark, configs, sf_dir, frames={"customer": root} if root is not None else None)
 
 
-@query("SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0)) GROUP BY 1")
+@query("SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')) GROUP BY 1")
 def entity_grandchild_semijoin(spark, sf_dir):
-    graph = tree(spark, sf_dir, table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0"))
+    graph = tree(spark, sf_dir, table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'"))
     return graph.get_frame("lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
 
 
@@ -347,11 +347,6 @@ def selection_legacy(spark, sf_dir):
     return decision.legacy_decide(_card(spark, sf_dir), 0.08).select("feature_name", "selected_flag", "drop_reason")
 
 
-@query()
-def selected_matrix(spark, sf_dir):
-    return decision.select_features(matrix(spark, sf_dir), KEY, TARGET).matrix
-
-
 # stability
 
 _STABLE = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -436,13 +431,13 @@ def offered(df: DataFrame) -> list[str]:
 
 @query()
 def model_gain(spark, sf_dir):
-    df, base = matrix(spark, sf_dir), ["order_count", "order_total"]
+    df, base = with_signal(matrix(spark, sf_dir)), ["order_count", "order_total"]
     return advanced.model_gain(df, KEY, TARGET, base, [c for c in offered(df) if c not in base])
 
 
 @query()
 def forward_selection(spark, sf_dir):
-    df = matrix(spark, sf_dir)
+    df = with_signal(matrix(spark, sf_dir))
     return advanced.forward_selection(df, KEY, TARGET, offered(df))
 
 

@@ -106,3 +106,12 @@ def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NUMERIC = ["FLAG_MOBIL", "velocity_prev_count_30d", "velocity_prev_decision_gap_std", "velocity_bureau_recent_credit_count_30d", "cashout_installments_late_ratio", "order_count", "order_total", "order_mean", "last_day"]
+
+#: A target that two of the features explain, for queries whose result would else be empty.
+SIGNAL = "(coalesce(order_mean, 0) > 190000 OR coalesce(order_count, 0) > 14)::INT"
+
+
+def with_signal(df: DataFrame) -> DataFrame:
+    """The matrix with that target."""
+    strong = (F.coalesce("order_mean", F.lit(0)) > 190000) | (F.coalesce("order_count", F.lit(0)) > 14)
+    return df.withColumn("TARGET", strong.cast("int"))

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """The cluster's ``spark.checkpoint.dir``; a folder of its own only where none is set and all runs on one machine."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="orebody-checkpoint-"))
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts lineage in ``spark.checkpoint.dir``; a folder of its own is set only where none is (tests)."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="orebody-checkpoint-"))
+    """Cuts lineage with a reliable checkpoint in the shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -6,9 +6,9 @@ import pytest
 
 import __spark_entry__
 from orebody import archive, registry
-from orebody.config import EntityConfig
-from orebody.functions.expr import long_form
-from orebody.operators import advanced, composite, decision, filters, profile, stability, synthesis, themes, univariate
+from orebody.config import AutoFeatureConfig, EntityConfig
+from orebody.functions.expr import average_ranks, counted, long_form, numbered, quantiles
+from orebody.operators import advanced, candidates, composite, decision, filters, profile, stability, synthesis, themes, univariate
 from orebody.operators.entity import build_graph, semi_join
 from orebody.plans import catalogue
 
@@ -99,7 +99,7 @@ def test_graph(spark):
 def test_profile(spark):
     t = spark.createDataFrame([(1, "a", 1.0), (2, "a", None)], "row_id int, s string, x double")
     got = {r.column: r for r in profile.column_quality(t).collect()}
-    assert (got["x"].null_rate, got["s"].unique_count, got["row_id"].mean, got["s"].sample_values) == (0.5, 1, 1.5, ["a"])
+    assert (got["x"].null_rate, got["s"].unique_count, got["row_id"].mean, got["s"].sample_values) == (0.5, 1, 1.5, ["a", "a"])
     assert profile.detect_primary_key(t) == ["row_id"] and profile.column_quality(t.limit(0)).count() == 3
     assert profile.orphan_rate(t.limit(0), t, "row_id").first()["orphan_rate"] == 0
 
@@ -121,7 +121,7 @@ def test_registry_and_archive(tmp_path, capsys):
     assert registry.main([*base, "export", "--output", str(tmp_path / "f.csv")]) == 0
     assert json.load(open(path))["features"][0]["status"] == "validated" and "velocity_7d" in (tmp_path / "f.csv").read_text()
     (tmp_path / "outputs" / "selection").mkdir(parents=True)
-    (tmp_path / "outputs" / "selection" / "selection_summary.json").write_text('{"selected_feature_count": 2}')
+    (tmp_path / "outputs" / "selection" / "feature_selection_report.json").write_text('{"selected_feature_count": 2}')
     (tmp_path / "README.md").write_text("stays")
     folder = archive.archive(tmp_path, "First Run!")
     assert (folder / "project" / "outputs" / "selection").exists() and (tmp_path / "README.md").exists()
@@ -142,3 +142,77 @@ def test_cross_auc_feature_of_one_fold(spark):
     rows = [(f, k % 2, float(k), 1.0 if f == 0 else None) for f in range(2) for k in range(20)]
     df = spark.createDataFrame(rows, "__fold int, y int, x double, once double")
     assert 0 <= advanced.cross_auc(df, "y", ["x", "once"], folds=2, trees=2) <= 1
+
+
+def test_ranks_and_quantiles(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(0)
+    rows = [(f, float(v)) for f in "ab" for v in rnd.integers(0, 12, 301 if f == "a" else 40)] + [("a", None), ("c", 7.0)]
+    df = spark.createDataFrame(rows, "f string, x double")
+    counts = counted(df, ["f"])
+    steps = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    got = {r.f: r.q for r in quantiles(counts, ["f"], steps).collect()}
+    for f in "abc":
+        assert got[f] == pytest.approx(np.quantile([x for g, x in rows if g == f and x is not None], steps))
+    ranks = {(r.f, r.x): r.r for r in average_ranks(counts.filter("x IS NOT NULL"), ["f"]).collect()}
+    own = sorted(x for g, x in rows if g == "b")
+    assert all(ranks["b", v] == np.mean([k + 1 for k, x in enumerate(own) if x == v]) for v in set(own))
+    placed = numbered(df, ["f"], ["x"], "k").collect()
+    for f in "abc":
+        own = sorted((r.k, r.x) for r in placed if r.f == f)
+        assert [k for k, _ in own] == list(range(1, len(own) + 1)) and [x for _, x in own if x is not None] == sorted(x for _, x in own if x is not None)
+    assert numbered(df.limit(0), [], ["x"], "k").count() == 0
+
+
+def test_spearman_with_nulls(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    rows = [(i, float(rnd.integers(0, 5)), None if rnd.random() < 0.3 else float(rnd.integers(0, 9)), 0.0 if rnd.random() < 0.8 else float(i)) for i in range(200)]
+    got = {(r.feature_a, r.feature_b): r.correlation for r in filters.spearman_pairs(spark.createDataFrame(rows, "id int, a double, b double, z double"), "id", ["a", "b", "z"]).collect()}
+
+    def rank(v):
+        return [np.mean([k + 1 for k, x in enumerate(sorted(v)) if x == y]) for y in v]
+
+    for i, j, pair in ((1, 2, ("a", "b")), (1, 3, ("a", "z")), (2, 3, ("b", "z"))):
+        both = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+        assert got[pair] == pytest.approx(np.corrcoef(rank([x for x, _ in both]), rank([y for _, y in both]))[0, 1])
+
+
+def test_stratified_folds(spark):
+    df = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(90)], "id int, y int")
+    sizes = {(r.y, r["__fold"]): r["count"] for r in advanced.with_folds(df, "id", "y").groupBy("y", "__fold").count().collect()}
+    assert sizes == {(0, f): 27 for f in range(3)} | {(1, f): 3 for f in range(3)}
+
+
+def test_candidate_run_and_files(spark, tmp_path):
+    parent = spark.createDataFrame([(1, 0, 5.0), (2, 1, None)], "SK_ID_CURR long, TARGET int, DAYS_BIRTH double")
+    prev = spark.createDataFrame([(10, 1, 2.0, -3), (11, 1, 4.0, -20), (12, 3, 9.0, -1)], "SK_ID_PREV long, SK_ID_CURR long, v double, DAYS_DECISION int")
+    bureau = spark.createDataFrame([(1, -5)], "SK_ID_CURR long, DAYS_CREDIT int")
+    frames = {"application": parent, "previous_application": prev, "bureau": bureau}
+    graph = build_graph(spark, [EntityConfig("application", "", "SK_ID_CURR"), EntityConfig("p", "", "SK_ID_PREV", "application", "SK_ID_CURR")], frames={"application": parent, "p": prev.drop("DAYS_DECISION")})
+    made = candidates.run_candidates(graph, frames, "application", "SK_ID_CURR", "TARGET", output=str(tmp_path))
+    row = {r.SK_ID_CURR: r for r in made.matrix.collect()}
+    assert (row[1].sum_p_v, row[1].velocity_prev_count_7d, row[2].count_p, row[2].velocity_prev_count_7d) == (6.0, 1, 0, None)
+    assert json.load(open(tmp_path / "candidate_pool_summary.json")) == made.summary and made.summary["row_count"] == 2
+    assert spark.read.parquet(str(tmp_path / "candidate_pool.parquet")).count() == 2
+    for name in ("auto/auto_feature_matrix.parquet", "auto/auto_feature_defs.csv", "semantic/semantic_feature_matrix.parquet", "semantic/semantic_feature_registry.csv"):
+        assert (tmp_path / name).exists()
+    alone = candidates.run_candidates(None, frames, "application", "SK_ID_CURR", "TARGET")
+    assert alone.auto is None and alone.summary["auto_feature_count"] == 0 and alone.matrix.count() == 2
+    one = candidates.run_auto(graph, "application", AutoFeatureConfig(sample_size=1)).matrix.collect()
+    assert len(one) == 1 and one[0].count_p == {1: 2, 2: 0}[one[0].SK_ID_CURR]
+    built = composite.build_composites(made.matrix.withColumn("EXT_SOURCE_2", made.matrix.velocity_prev_count_7d * 0.5).withColumnRenamed("velocity_prev_count_30d", "prev_app_count_30d"), composite.example_specs(), str(tmp_path))
+    assert [s.feature_name for s in built.valid] == ["composite_velocity_x_external"] and len(built.rejected) == 3
+    assert (tmp_path / "composite_feature_matrix.parquet").exists() and (tmp_path / "composite_feature_specs.csv").exists()
+
+
+def test_advanced_files(spark, tmp_path):
+    df = spark.createDataFrame([(i, int(i % 3 == 0), float(i % 3), float(i % 7), 2.0 * (i % 7)) for i in range(90)], "id int, y int, a double, b double, c double")
+    made = advanced.run_advanced(df, "id", "y", output=str(tmp_path), base_count=1, folds=2, trees=3, depth=2)
+    assert made.summary == {"feature_count": 3, "duplicate_pairs": 1, "positive_gain": made.summary["positive_gain"]}
+    steps = advanced.forward_selection(df, "id", "y", ["a", "b", "c"], folds=2, trees=3, depth=2, output=str(tmp_path)).collect()
+    assert steps[0].feature_name == "a" and steps[0].cumulative_auc == 1.0 and len(steps) == 1
+    for name in ("duplicate_features.csv", "model_gain_report.csv", "incremental_gain_report.csv"):
+        assert (tmp_path / name).exists()
