@@ -300,14 +300,14 @@ def selection_run(spark, sf_dir):
 _SIGNAL_SQL = _DECIDED.replace('SELECT a."SK_ID_CURR", a."TARGET",', f'SELECT a."SK_ID_CURR", {SIGNAL} AS "TARGET",')
 
 
-@query(f'{_SIGNAL_SQL} SELECT "SK_ID_CURR" AS id, "TARGET" AS target, f AS feature_name, round(x, 2) AS value FROM matrix JOIN raw ON raw.id = "SK_ID_CURR" WHERE f <> \'segment\' AND f IN (SELECT feature_name FROM decided WHERE selected_flag)')
+@query(f'{_SIGNAL_SQL} SELECT "SK_ID_CURR" AS id, "TARGET" AS target, f AS feature_name, round(x) AS value FROM matrix JOIN raw ON raw.id = "SK_ID_CURR" WHERE f <> \'segment\' AND f IN (SELECT feature_name FROM decided WHERE selected_flag)')
 def selected_values(spark, sf_dir):
     """The selected matrix, for a target that has a signal, as one row a key and numeric feature."""
     made = decision.select_features(with_signal(matrix(spark, sf_dir)), KEY, TARGET).matrix
     chosen = [c for c in made.columns if c not in (KEY, TARGET, "segment")]
     if not chosen:
         return spark.createDataFrame([], "id bigint, target int, feature_name string, value double")
-    return long_form(made, chosen, [KEY, TARGET]).select(F.col(KEY).alias("id"), F.col(TARGET).alias("target"), F.col("feature").alias("feature_name"), F.round("x", 2).alias("value"))
+    return long_form(made, chosen, [KEY, TARGET]).select(F.col(KEY).alias("id"), F.col(TARGET).alias("target"), F.col("feature").alias("feature_name"), F.round("x").alias("value"))
 
 
 @query(f"""{_DECIDED} SELECT {len(_IN_ORDER)}::BIGINT AS input_feature_count, count(*) AS after_filter_count, count(*) FILTER (selected_flag) AS selected_feature_count,
