@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orebody.sources.shared import checkpoint, ensure_checkpoint_dir  # noqa: F401  shared with the operators
+
 #: Bytes of text that a numpy kernel works on at once; bounds a Python worker's memory.
 KERNEL_BYTES = 2 << 20
 
@@ -19,20 +20,6 @@ _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared ``spark.checkpoint.dir``; make one only where none is set (tests)."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="orebody-checkpoint-"))
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser, element by element."""
     x = x ^ (x >> np.uint64(30))

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from orebody.llm.common import LOWER, WORD_BYTES, mix64, poly, row_slices, text_buffers, word_spans
 
 WINDOW = 10
-#: Most benchmark text in one broadcast table of patterns.
-PATTERN_BYTES = 16 << 20
+#: Most benchmark text in one broadcast table of patterns; the table takes about 12 bytes for each of text.
+PATTERN_BYTES = 2 << 20
 #: Shift tables have 2**TABLE_BITS entries, addressed by the hash of a block.
 TABLE_BITS = 18
 #: Words that one lane of the search covers.
@@ -65,26 +65,39 @@ def window_hashes(words: np.ndarray, m: int) -> np.ndarray:
 
 
 class PatternTable:
-    """Wu-Manber tables of the patterns of one length."""
+    """Wu-Manber tables of the patterns of one length, as flat arrays over the items' words."""
 
-    def __init__(self, m: int, words: np.ndarray, texts: list[bytes], items: list[list[str]]):
-        """``words``: word hashes, one row of m for each distinct pattern; ``texts``: its words, joined by a space."""
-        self.m, self.texts, self.items = m, texts, items
+    def __init__(self, m: int, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, heads: np.ndarray, owners: np.ndarray, names: list[str]):
+        """``heads``: first word of each window of the items; ``owners``: its item, an index of ``names``."""
+        self.m, self.low, self.starts, self.ends, self.names = m, low, starts, ends, names
         self.block = min(2, m)
-        keys = self.blocks(words.reshape(-1), m)
         reach = m - self.block + 1
         self.shift = np.full(1 << TABLE_BITS, reach, np.int64)
-        for at in range(reach):
-            np.minimum.at(self.shift, keys[:, at], reach - 1 - at)
-        hashes = np.array([window_hashes(row, m)[0] for row in words], np.uint64)
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.order = hashes[order], order
-        self.suffix = keys[:, -1][order]
-
-    def blocks(self, flat: np.ndarray, m: int) -> np.ndarray:
-        """Table addresses of the blocks inside rows of m words."""
-        rows = flat.reshape(-1, m)
-        return block_keys(rows[:, : m - self.block + 1], rows[:, self.block - 1 :], self.block)
+        for at in range(reach):  # a column at a time
+            keys = block_keys(words[heads + at], words[heads + at + self.block - 1], self.block)
+            np.minimum.at(self.shift, keys, reach - 1 - at)
+        family, other = poly(12), poly(13)
+        hashes = family.spans(family.prefix(words), heads, heads + m)
+        checks = other.spans(other.prefix(words), heads, heads + m)
+        order = np.lexsort((checks, hashes))
+        hashes, checks = hashes[order], checks[order]
+        new = np.append(True, (hashes[1:] != hashes[:-1]) | (checks[1:] != checks[:-1]))[: len(hashes)]
+        self.hashes, self.heads = hashes[new], heads[order][new]
+        self.suffix = keys[order][new]
+        # items of pattern p: owners[at[p]:at[p + 1]], each once
+        pairs = np.unique(((np.cumsum(new) - 1) << 32) | owners[order])
+        self.owners = (pairs & 0xFFFFFFFF).astype(np.int32)
+        self.at = np.searchsorted(pairs >> 32, np.arange(len(self.hashes) + 1))
+        same = np.append(False, self.hashes[1:] == self.hashes[:-1])[: len(self.hashes)]
+        self.most = int(np.diff(np.flatnonzero(np.append(~same, True))).max(initial=1))  # patterns of one hash
+
+    def text(self, p: int) -> bytes:
+        """The pattern's words, joined by a space."""
+        h = int(self.heads[p])
+        return b" ".join([self.low[self.starts[w] : self.ends[w]].tobytes() for w in range(h, h + self.m)])
+
+    def items(self, p: int) -> list[str]:
+        return [self.names[i] for i in self.owners[self.at[p] : self.at[p + 1]].tolist()]
 
     def search(self, low, starts, ends, first, words) -> tuple[np.ndarray, np.ndarray]:
         """(index of the first word, pattern) of each occurrence."""
@@ -113,16 +126,19 @@ class PatternTable:
         head = np.concatenate(found) - m + 1
         family = poly(12)
         whole = family.spans(family.prefix(words), head, head + m)
-        k = np.searchsorted(self.hashes, whole)
-        k[k == len(self.hashes)] = 0
-        same = (self.hashes[k] == whole) & (self.suffix[k] == addresses[head + m - self.block])
-        head, pattern = head[same], self.order[k[same]]
-        true = [
-            b" ".join([low[starts[w] : ends[w]].tobytes() for w in range(h, h + m)]) == self.texts[p]
-            for h, p in zip(head.tolist(), pattern.tolist())
-        ]
-        keep = np.array(true, bool)
-        return head[keep], pattern[keep]
+        first_of = np.searchsorted(self.hashes, whole)
+        heads, patterns = [], []
+        for step in range(self.most):
+            k = np.minimum(first_of + step, len(self.hashes) - 1)
+            same = np.flatnonzero((self.hashes[k] == whole) & (self.suffix[k] == addresses[head + m - self.block]) & (first_of + step < len(self.hashes)))
+            held = {}
+            for h, p in zip(head[same].tolist(), k[same].tolist()):
+                if p not in held:
+                    held[p] = self.text(p)
+                if b" ".join([low[starts[w] : ends[w]].tobytes() for w in range(h, h + m)]) == held[p]:
+                    heads.append(h)
+                    patterns.append(p)
+        return np.array(heads, np.int64), np.array(patterns, np.int64)
 
 
 def block_keys(left: np.ndarray, right: np.ndarray, block: int) -> np.ndarray:
@@ -130,19 +146,19 @@ def block_keys(left: np.ndarray, right: np.ndarray, block: int) -> np.ndarray:
     return (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
-def build_tables(item_ids: list, texts: list, window: int) -> list[PatternTable]:
-    by_length: dict[int, dict[bytes, tuple[np.ndarray, set]]] = {}
-    low, starts, ends, first, words = words_of(pa.array(texts, pa.string()))
-    for i, item in enumerate(item_ids):
-        a, b = int(first[i]), int(first[i + 1])
-        m = min(window, b - a)
-        for w in range(a, b - m + 1) if m else ():
-            text = b" ".join(low[starts[x] : ends[x]].tobytes() for x in range(w, w + m))
-            by_length.setdefault(m, {}).setdefault(text, (words[w : w + m], set()))[1].add(str(item))
-    return [
-        PatternTable(m, np.array([v[0] for v in found.values()], np.uint64), list(found), [sorted(v[1]) for v in found.values()])
-        for m, found in sorted(by_length.items())
-    ]
+def build_tables(item_ids: list, texts, window: int) -> list[PatternTable]:
+    """One table a pattern length: the window, and the lengths of shorter items."""
+    low, starts, ends, first, words = words_of(texts)
+    count = np.diff(first)
+    names = [str(i) for i in item_ids]
+    out = []
+    for m in np.unique(np.minimum(count[count > 0], window)).tolist():
+        own = np.flatnonzero((count == m) if m < window else (count >= m))
+        n = count[own] - m + 1
+        owners = np.repeat(own, n)
+        heads = first[owners] + np.arange(len(owners)) - np.repeat(np.cumsum(n) - n, n)
+        out.append(PatternTable(m, low, starts, ends, words, heads, owners, names))
+    return out
 
 
 def scan(tables: list[PatternTable], texts):
@@ -155,7 +171,7 @@ def scan(tables: list[PatternTable], texts):
             head, pattern = table.search(low, starts, ends, first, words)
             heads.append(head)
             tails.append(head + table.m)
-            items.extend(table.items[p] for p in pattern.tolist())
+            items.extend(table.items(p) for p in pattern.tolist())
         head = np.concatenate(heads) if heads else np.zeros(0, np.int64)
         tail = np.concatenate(tails) if tails else np.zeros(0, np.int64)
         row = np.searchsorted(first, head, side="right") - 1
@@ -193,8 +209,8 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pattern_by
     blocks = benchmark_blocks(benchmark, pattern_bytes)
 
     def tables_of(block):
-        rows = block.collect()  # bounded by pattern_bytes
-        return sc.broadcast(build_tables([r[0] for r in rows], [r[1] for r in rows], window))
+        rows = block.toArrow()  # bounded by pattern_bytes
+        return sc.broadcast(build_tables(rows["item_id"].to_pylist(), rows["text"], window))
 
     if len(blocks) == 1:
         shared = tables_of(blocks[0])
@@ -269,8 +285,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     blocks = benchmark_blocks(benchmark, PATTERN_BYTES)
     at = docs.columns.index("text")
     for block in blocks:
-        rows = block.collect()  # bounded by PATTERN_BYTES
-        shared = docs.sparkSession.sparkContext.broadcast(build_tables([r[0] for r in rows], [r[1] for r in rows], window))
+        rows = block.toArrow()  # bounded by PATTERN_BYTES
+        shared = docs.sparkSession.sparkContext.broadcast(build_tables(rows["item_id"].to_pylist(), rows["text"], window))
 
         def run(batches, shared=shared):
             for batch in batches:

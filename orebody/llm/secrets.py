@@ -6,7 +6,8 @@ ratio is at least ``MEAN_RATIO`` a character and ``TOTAL_RATIO`` in all.  Spans
 added where they touch no span of the fixed patterns, which all stay.
 
 Scale: one pass over the documents without a shuffle; the models are one table of 256 x 256 ratios.  Training
-takes at most ``SAMPLE_DOCS`` distinct texts, found by a filter on their hash.
+takes at most ``SAMPLE_DOCS`` distinct texts, found by a filter on their hash, and of each label at most
+``MOST_RUNS`` distinct runs in the order of their hash; a run counts by its first ``RUN_BYTES`` bytes there.
 
 Defined results: null text counts as empty and has no spans; repeated rows are scanned alike; an empty
 table gives no rows; other columns are ignored.
@@ -16,13 +17,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebody.llm.common import byte_class, row_slices, text_buffers, word_spans
+from orebody.llm.common import byte_class, checkpoint, row_slices, text_buffers, word_spans
 
 #: The base patterns, their least lengths, and the order of kinds at one start.
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -38,6 +40,8 @@ MEAN_RATIO, TOTAL_RATIO = 0.8, 24.0
 SAMPLE_DOCS = 2000
 #: Texts drawn for each one wanted: copies among them fall together.
 DRAWN = 4
+#: Distinct token runs of each label that the models learn from, and bytes of a run.
+MOST_RUNS, RUN_BYTES = 200_000, 200
 #: Random strings of each alphabet that are added to the labelled samples.
 RANDOM_STRINGS = 2000
 ALPHABETS = ("0123456789abcdef", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-")
@@ -63,8 +67,8 @@ def train(samples: list[tuple[bytes, int]]) -> np.ndarray:
 def labelled_samples(docs: DataFrame, most: int = SAMPLE_DOCS, seed: int = 0) -> list[tuple[bytes, int]]:
     """Random strings of fixed alphabets and values of base spans (1); other token runs of at most ``most`` documents (0).
 
-    Texts are drawn by a hash of the text that lies under a share of its range, set by the number of rows, so
-    that few more than are wanted leave their partition, however many rows there are; copies count once.
+    Texts are drawn by a hash of the text that lies under a share of its range, set by the number of distinct
+    texts, so that few more than are wanted leave their partition, however many rows there are; copies count once.
     """
     rng = np.random.default_rng(seed)
     out = [(bytes(rng.choice(list(alphabet.encode()), int(rng.integers(20, 65))).astype(np.uint8)), 1) for alphabet in ALPHABETS for _ in range(RANDOM_STRINGS)]
@@ -74,18 +78,38 @@ def labelled_samples(docs: DataFrame, most: int = SAMPLE_DOCS, seed: int = 0) ->
             found: dict[tuple[bytes, int], None] = {}
             for text in batch.column(0):
                 data = (text.as_py() or "").encode()
-                base = base_spans(data)
+                touched = Taken(base_spans(data))
                 for m in re.finditer(rb"[A-Za-z0-9+/_=-]{4,}", data):
-                    inside = any(a < m.end() and m.start() < b for a, _, b in base)
+                    inside = touched(m.start(), m.end())
                     if not inside or m.end() - m.start() >= LEAST_RUN:
-                        found[m[0][:200], int(inside)] = None
+                        found[m[0][:RUN_BYTES], int(inside)] = None
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.binary()), pa.array([k[1] for k in found], pa.int32())], names=["s", "y"])
 
-    share = max(1, docs.count() // (DRAWN * most))
-    drawn = docs.select("text", F.xxhash64("text").alias("at")).filter(F.col("text").isNotNull() & (F.pmod("at", F.lit(share)) == 0))
-    sample = drawn.dropDuplicates(["text"]).orderBy("at", "text").limit(most).select("text")
-    table = sample.mapInArrow(runs, "s binary, y int").distinct().orderBy("y", "s").limit(400_000).toArrow()
-    return out + list(zip(table["s"].to_pylist(), table["y"].to_pylist()))
+    texts = docs.select("text", F.xxhash64("text").alias("at")).filter(F.col("text").isNotNull())
+    share = max(1, texts.agg(F.approx_count_distinct("at")).first()[0] // (DRAWN * most))
+    sample = texts.filter(F.pmod("at", F.lit(share)) == 0).dropDuplicates(["text"]).orderBy("at", "text").limit(most).select("text")
+    found = checkpoint(sample.mapInArrow(runs, "s binary, y int").distinct())
+    for label in (0, 1):
+        part = found.filter(F.col("y") == label).orderBy(F.xxhash64("s"), "s").limit(MOST_RUNS).toArrow()
+        out += [(s, label) for s in part["s"].to_pylist()]
+    return out
+
+
+class Taken:
+    """Whether a stretch touches any of some spans (start, kind, end)."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for a, _, b in spans:  # in order of start
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def __call__(self, a: int, b: int) -> bool:
+        k = bisect_left(self.starts, b) - 1
+        return k >= 0 and self.ends[k] > a
 
 
 def hex_runs(data: bytes) -> list[tuple[int, int]]:
@@ -125,10 +149,10 @@ def scan_rows(texts, ratios: np.ndarray):
         for r in range(j - i):
             data = part[at[r] : at[r + 1]].tobytes() if marked[r] else b""
             spans = base_spans(data) if marked[r] else []
-            for k in by_row.get(r, ()):
-                a, b = int(starts[k] - at[r]), int(ends[k] - at[r])
-                if not any(x < b and a < y for x, _, y in spans if _ != 3):
-                    spans.append((a, 3, b))
+            if r in by_row:
+                touched = Taken(spans)
+                runs = [(int(starts[k] - at[r]), 3, int(ends[k] - at[r])) for k in by_row[r]]
+                spans += [(a, kind, b) for a, kind, b in runs if not touched(a, b)]
             if spans and not data.isascii():
                 points = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])
                 spans = [(int(points[a]), kind, int(points[b])) for a, kind, b in spans]

@@ -51,6 +51,8 @@ STAGE_PARTNERS = 8
 STAGE_ROWS = 1_000_000
 #: (fingerprints up to, bit blocks): longer keys once groups would grow large; all give the same links.
 BLOCKS_BY_COUNT = ((40_000_000, 5), (4_000_000_000, 6), (1 << 63, 8))
+#: Components of more than a share of 1 / LARGE_LABELS of the fingerprints, and of LEAST_LARGE, are named by a broadcast.
+LARGE_LABELS, LEAST_LARGE = 10_000, 100
 #: Pairs of nodes that are compared at once; bounds memory.
 PAIR_CHUNK = 1 << 20
 
@@ -417,13 +419,27 @@ def groups(docs: DataFrame, radius: int = RADIUS, shingle_words: int = SHINGLE_W
     """(doc_id, fingerprint, component_id) of every row."""
     fps = checkpoint(fingerprints(docs, shingle_words))
     distinct = checkpoint(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    labels = components(links(distinct.select(F.col("fp").alias("node"), "fp"), distinct.count(), radius, blocks))
-    named = distinct.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(least, "label").select("fp", "component_id")
+    n = distinct.count()
+    labels = components(links(distinct.select(F.col("fp").alias("node"), "fp"), n, radius, blocks))
+    named = checkpoint(distinct.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")))
+    by_fp = with_least(named, n).select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def with_least(named: DataFrame, n: int) -> DataFrame:
+    """Adds component_id, the least ``least`` of the rows with a label, of which there are ``n``.
+
+    Labels of more than n / LARGE_LABELS rows are fewer than LARGE_LABELS: these are broadcast, so that no task
+    gathers a large component; the other labels' groups are small.
+    """
+    large = max(LEAST_LARGE, n // LARGE_LABELS)
+    sizes = checkpoint(named.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("__n")))
+    wide = named.join(F.broadcast(sizes.filter(F.col("__n") > large).select("label", F.col("component_id").alias("__id"), F.lit(True).alias("__large"))), "label", "left")
+    of_large = wide.filter("__large").select("fp", F.col("__id").alias("component_id"))
+    of_small = wide.filter("__large IS NULL").select("fp", "label").join(sizes.filter(F.col("__n") <= large).select("label", "component_id"), "label").select("fp", "component_id")
+    return of_large.unionByName(of_small)
+
+
 def shingle_set(text, shingle_words: int) -> np.ndarray:
     """Hashes of a text's shingles in order, each once."""
     return np.unique(shingle_hashes(text.as_py() or b"", shingle_words))

@@ -112,7 +112,8 @@ def frequent_anchors(docs: DataFrame, length: int, share: int = SAMPLE_SHARE, le
     counted = checkpoint(chosen.mapInArrow(run, "name bigint").groupBy("name").count().filter(F.col("count") >= least))
     while counted.filter(F.col("count") >= least).count() > MOST_FREQUENT:
         least *= 2
-    return np.sort(np.array([r.name for r in counted.filter(F.col("count") >= least).collect()], np.int64).view(np.uint64))
+    names = counted.filter(F.col("count") >= least).select("name").toArrow()["name"].to_numpy()  # at most MOST_FREQUENT
+    return np.sort(names.astype(np.int64).view(np.uint64))
 
 
 def shared_strings(right: list[bytes], left: list[bytes], length: int) -> list[list[tuple[int, int]]]:

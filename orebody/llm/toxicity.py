@@ -9,6 +9,11 @@ are not fitted as clean.  Several classifiers are trained on different U samples
 Scale: training takes at most ``most`` rows of each kind, whatever the corpus; scoring is one pass over
 the documents without a shuffle, and the model (about 1 MB) is broadcast.
 
+The prior pi is the share of toxic labels, unless it is given: it is right if labels are a random sample.  The
+threshold is set so that ``SHARE`` of that prior of the unlabelled sample reaches it; where labels are not a
+random sample, the rate of texts that are called toxic follows the labels' share and not the texts, and the
+prior should be given.
+
 Defined results: null and empty texts are scored like any text without words; documents with several
 labels count as toxic if one says so; without a confirmed toxic text every score is 0; repeated rows are
 scored alike; an empty table gives no rows; other columns are ignored.
@@ -64,6 +69,20 @@ def telling(positive, unlabelled, least: int = 5, z: float = 3.5) -> np.ndarray:
     return (p + u >= least) & (np.abs(p / n_p - u / n_u) > z * spread)
 
 
+def risks(f_p: np.ndarray, f_u: np.ndarray, prior: float) -> tuple[float, float]:
+    """(pi R+(P), R-(U) - pi R-(P)) of raw scores: the risk is the first plus the second, or plus 0 where that is negative."""
+    return prior * np.logaddexp(0, -f_p).mean(), np.logaddexp(0, f_u).mean() - prior * np.logaddexp(0, f_p).mean()
+
+
+def step_of(f_p: np.ndarray, f_u: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient by the scores of P, then of U: of the whole risk; where its second part is negative, of that part reversed."""
+    s_p, s_u = 1 / (1 + np.exp(-f_p)), 1 / (1 + np.exp(-f_u))
+    clean_p, clean_u = -prior * s_p / len(f_p), s_u / len(f_u)
+    if risks(f_p, f_u, prior)[1] < 0:
+        return np.concatenate([-clean_p, -clean_u])
+    return np.concatenate([prior * (s_p - 1) / len(f_p) + clean_p, clean_u])
+
+
 def train(positive, unlabelled, prior: float, rounds: int = 40, rate: float = 0.3, decay: float = 1e-4, seed: int = 0) -> Linear:
     """nnPU by Adagrad on mini-batches. ``positive``, ``unlabelled``: rows of features."""
     if not positive or not unlabelled:
@@ -82,17 +101,7 @@ def train(positive, unlabelled, prior: float, rounds: int = 40, rate: float = 0.
                 continue
             bounds, ids = flat([*(positive[i] for i in p_at), *(unlabelled[i] for i in u_at)])
             f = np.clip(row_sums(w[ids], bounds) + b, -30, 30)
-            s = 1 / (1 + np.exp(-f))
-            n_p, n_u = len(p_at), len(u_at)
-            loss = np.logaddexp(0, f)  # of calling a text clean is logaddexp(0, f); toxic, logaddexp(0, -f)
-            clean_risk = loss[n_p:].mean() - prior * loss[:n_p].mean()
-            g = np.empty(len(s))
-            if clean_risk >= 0:
-                g[:n_p] = prior * (s[:n_p] - 1) / n_p - prior * s[:n_p] / n_p
-                g[n_p:] = s[n_p:] / n_u
-            else:
-                g[:n_p] = prior * s[:n_p] / n_p
-                g[n_p:] = -s[n_p:] / n_u
+            g = step_of(f[: len(p_at)], f[len(p_at) :], prior)
             used, back = np.unique(ids, return_inverse=True)
             step = np.bincount(back, np.repeat(g, np.diff(bounds))) + decay * w[used]
             gw[used] += step**2
@@ -102,13 +111,13 @@ def train(positive, unlabelled, prior: float, rounds: int = 40, rate: float = 0.
     return Linear(w, float(b))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS, models: int = 3) -> Linear:
+def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS, models: int = 3, prior: float | None = None) -> Linear:
     """Averaged nnPU classifiers from labels that are not held out, and unlabelled texts of rows that are not."""
     known = labels.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("__y"))
     toxic, total = known.agg(F.coalesce(F.sum("__y"), F.lit(0)), F.count("*")).first()
     if not toxic:
         return NOTHING
-    prior = min(max(toxic / total, 0.01), 0.9)
+    prior = prior or min(max(toxic / total, 1e-4), 0.9)
     unlabelled = docs.filter(~held_out() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("__y"))
     pos, _ = features.sampled_rows(docs, [known.filter("__y = 1")], most, PREFIXES, only_ids=True)
     some = features.drawn(unlabelled, docs.count(), 3 * most)

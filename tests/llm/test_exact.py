@@ -252,3 +252,45 @@ def test_secrets(spark, odd):
     hexes = [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     assert ("hex", *map(str, hexes[0])) in [tuple(s) for s in spans]
     assert got[2].spans == got[3].spans == "" and secrets.scan(odd, secrets.train(samples)).count() == 7
+
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
+
+
+def plain_secrets(text):
+    """Base spans by the plain patterns, in code points."""
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def test_secrets_of_the_table(spark):
+    """All documents of the small table against plain regular expressions, with planted strings that no pattern finds."""
+    rnd = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r.doc_id, r.text) for r in table]
+    planted = {}
+    for i in range(60):
+        key = "".join(rnd.choice(letters) for _ in range(rnd.randrange(24, 60)))
+        before = " ".join(rnd.choice(["some", "ünï", "words"]) for _ in range(i))
+        planted[10**9 + i] = (len(before) + 1, len(before) + 1 + len(key))
+        rows.append((10**9 + i, f"{before} {key} and more"))
+    rows += [(2 * 10**9, "0a" * 12 + (" token=" + "ab" * 12) * 40_000), (2 * 10**9 + 1, None), (2 * 10**9 + 2, "")]
+    docs = frame(spark, rows)
+    found = {r.doc_id: r for r in secrets.scan(docs, secrets.train(secrets.labelled_samples(docs))).collect()}
+    texts, names = dict(rows), ("assign", "access", "hex")
+    assert len(found) == len(rows)
+    for i, text in texts.items():
+        base = plain_secrets(text)
+        spans = [s.split(":") for s in found[i].spans.split(",") if s]
+        assert [s for s in spans if s[0] != "markov"] == [[names[k], str(a), str(b)] for a, k, b in base]
+        assert (found[i].n_assign, found[i].n_access, found[i].n_hex) == tuple(sum(k == j for _, k, _ in base) for j in range(3))
+    got = {i: [tuple(map(int, s.split(":")[1:])) for s in found[i].spans.split(",") if s] for i in planted}
+    assert sum(planted[i] in got[i] for i in planted) >= 54
+    ordinary = [r.n_markov for r in found.values() if r.doc_id < 10**9]
+    assert sum(n > 0 for n in ordinary) <= len(ordinary) // 50
+    assert secrets.scan(docs.limit(0), np.zeros((256, 256))).count() == 0
+    assert len(secrets.labelled_samples(docs.limit(0))) == 4 * secrets.RANDOM_STRINGS

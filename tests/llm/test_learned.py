@@ -43,6 +43,29 @@ def test_no_labels(spark, odd, module):
     assert module.score(odd.limit(0), module.NOTHING).count() == 0
 
 
+def test_risk_and_step():
+    """The risk against its formula, and the step against differences of the risk, on both sides of the correction."""
+    rng, prior, sides = np.random.default_rng(2), 0.2, set()
+    for scale, shift in ((1, 0.0), (3, -4.0), (2, 2.0)):
+        f_p, f_u = rng.normal(size=5) * scale + 3, rng.normal(size=9) * scale + shift
+        loss = lambda z, y: float(np.log(1 + np.exp(-y * z)))
+
+        def parts(f):
+            p, u = f[:5], f[5:]
+            toxic = prior * sum(loss(z, 1) for z in p) / 5
+            return toxic, sum(loss(z, -1) for z in u) / 9 - prior * sum(loss(z, -1) for z in p) / 5
+
+        f = np.concatenate([f_p, f_u])
+        assert toxicity.risks(f_p, f_u, prior) == pytest.approx(parts(f))
+        corrected = parts(f)[1] < 0
+        sides.add(corrected)
+        aim = (lambda f: -parts(f)[1]) if corrected else (lambda f: sum(parts(f)))
+        eps = np.eye(14) * 1e-6
+        want = [(aim(f + e) - aim(f - e)) / 2e-6 for e in eps]
+        assert toxicity.step_of(f_p, f_u, prior) == pytest.approx(want, abs=1e-6)
+    assert sides == {True, False}
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(0)
     m = quality.Machine(0.3, rng.normal(size=9).astype(np.float32), rng.normal(size=(9, 4)).astype(np.float32))
