@@ -17,23 +17,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebody.llm.common import partitions_for, text_buffers
+from orebody.llm.common import text_buffers
 
-#: Most shuffle partitions that buckets are dealt to; a partition then holds several buckets, one at a time in memory.
+#: Most shuffle partitions that buckets are dealt to; beyond, a partition holds several buckets, one at a time in memory.
 MOST_PARTITIONS = 20_000
 #: Rows of a bucket, for texts so short that bytes bound nothing.
 BUCKET_ROWS = 100_000
 
 
-def buckets(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
-    """((doc_id, text as binary, p) dealt by p, total bytes)."""
+def buckets(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int, int]:
+    """((doc_id, text as binary, p) dealt by p, one bucket a partition; total bytes; number of partitions)."""
     text = F.col("text").cast("binary")
     total, rows = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count("*")).first()
     n = max(1, math.ceil(total / bucket_bytes), math.ceil(rows / BUCKET_ROWS))
     dealt = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("p")
     )
-    return dealt.repartition(min(n, MOST_PARTITIONS), "p"), total
+    n_parts = min(n, MOST_PARTITIONS)
+    return dealt.repartitionById(n_parts, F.col("p")), total, n_parts
 
 
 def in_order(table: pa.Table) -> pa.Table:
@@ -69,8 +70,8 @@ FLAG_SCHEMA = "p int, r int, flags binary"
 
 
 def by_range(df: DataFrame, n: int):
-    """``df`` grouped by r, one of n ranges; dealt to as many partitions where the session's default is fewer."""
-    return (df.repartition(min(n, MOST_PARTITIONS), "r") if n > partitions_for(df) else df).groupBy("r")
+    """``df`` grouped by r, one of n ranges, each in a partition of its own."""
+    return df.repartitionById(min(n, MOST_PARTITIONS), F.col("r")).groupBy("r")
 
 
 def recurring(table):

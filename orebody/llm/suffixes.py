@@ -170,7 +170,7 @@ def _windows(buf, prefix, at, length):
 def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES, share: int = SAMPLE_SHARE, least: int = FREQUENT_SLICES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, removed (byte runs as from, to, ...) and kept (the bytes that stay)."""
     frequent = frequent_anchors(docs, length, share, least)
-    dealt, total = repeats.buckets(docs, bucket_bytes)
+    dealt, total, n_buckets = repeats.buckets(docs, bucket_bytes)
     probe_ranges = max(1, math.ceil(total / PROBE_RANGE_BYTES))
     slice_ranges = max(1, math.ceil(total / SLICE_RANGE_BYTES))
     gram = min(GRAM, length)
@@ -283,8 +283,9 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKE
             }
         )
 
+    to_buckets = lambda rows: rows.repartitionById(n_buckets, F.col("p")).groupBy("p")
     names = dealt.groupBy("p").applyInArrow(send_probes, repeats.KEY_SCHEMA)
     flags = repeats.by_range(names, probe_ranges).applyInArrow(repeats.recurring, repeats.FLAG_SCHEMA)
-    slices = dealt.groupBy("p").cogroup(flags.groupBy("p")).applyInArrow(send_slices, _SLICE_SCHEMA)
+    slices = dealt.groupBy("p").cogroup(to_buckets(flags)).applyInArrow(send_slices, _SLICE_SCHEMA)
     found = repeats.by_range(slices, slice_ranges).applyInArrow(sort_slices, _FOUND_SCHEMA)
-    return dealt.groupBy("p").cogroup(found.groupBy("p")).applyInArrow(remove, SCHEMA)
+    return dealt.groupBy("p").cogroup(to_buckets(found)).applyInArrow(remove, SCHEMA)

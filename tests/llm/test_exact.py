@@ -44,7 +44,7 @@ def test_substrings(spark, monkeypatch):
         gone = {k for a in range(len(x) - w + 1) if seen[tuple(x[a : a + w])] > 1 for k in range(a, a + w)}
         want.append((i, len(x), len(gone), b" ".join(v for k, v in enumerate(x) if k not in gone).decode()))
     for size in (1 << 20, 3000):
-        got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.deduplicate(frame(spark, rows), w, 4, size).collect()]
+        got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.deduplicate(frame(spark, rows), w, (2, 2), size).collect()]
         assert by_id(got) == by_id(want)
     assert sum(x[2] for x in want) > 500
 
