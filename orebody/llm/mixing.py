@@ -208,21 +208,24 @@ def take_documents(docs: DataFrame, **params) -> DataFrame:
     Rows with equal id, text and source are one document in several rows: they share its words equally, and what
     does not divide goes into rows of their own, so that no word of the mix is lost.
     """
-    columns = docs.columns
-    docs = docs.withColumn("__hash", F.xxhash64("text", "source"))
-    keyed = docs.select(F.struct(F.col("doc_id"), F.col("__hash")).alias("doc_id"), "text", "source")
+    names = docs.columns
+    plain = docs.toDF(*[f"c{k}" for k in range(len(names))])  # no name of the input's can clash with those below
+    doc_id, text, source = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text", "source"))
+    rows = plain.withColumn("__hash", F.xxhash64(text, source))
+    keyed = rows.select(F.struct(doc_id.alias("doc_id"), F.col("__hash")).alias("doc_id"), text.alias("text"), source.alias("source"))
     taken = mix(keyed, **params).select(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.__hash").alias("__h"), "size", "taken")
     taken = checkpoint(taken.groupBy("__id", "__h", "size").agg(F.sum("taken").alias("__all"), F.count("*").alias("__rows")).filter("__all > 0"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
-    rows = docs.join(taken.select("__id", "__h", "size", F.expr("__all div __rows").alias("__words")), same)
+    same = doc_id.eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
+    copies = rows.join(taken.select("__id", "__h", "size", F.expr("__all div __rows").alias("__words")), same)
     left = taken.filter("__all % __rows > 0").select("__id", "__h", "size", F.expr("__all % __rows").alias("__words"))
     if not left.isEmpty():
-        rows = rows.unionByName(docs.join(left, same).dropDuplicates(["__id", "__h"]))
+        copies = copies.unionByName(rows.join(left, same).dropDuplicates(["__id", "__h"]))
     rest = F.expr("__words % size")
     passes = F.expr("__words div size").cast("int")
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)), F.lit(1), rest.cast("int")), " ")
-    copies = rows.withColumn("__whole", F.explode(F.concat(F.array_repeat(F.lit(True), passes), F.array_repeat(F.lit(False), F.when(rest > 0, 1).otherwise(0)))))
-    copies = copies.withColumn("text", F.when(F.col("__whole"), F.col("text")).otherwise(cut))
-    if "n_chars" in columns:
-        copies = copies.withColumn("n_chars", F.when(F.col("__whole"), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return copies.select(*columns)
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0)), F.lit(1), rest.cast("int")), " ")
+    copies = copies.withColumn("__whole", F.explode(F.concat(F.array_repeat(F.lit(True), passes), F.array_repeat(F.lit(False), F.when(rest > 0, 1).otherwise(0)))))
+    out = {c: F.col(f"c{k}") for k, c in enumerate(names)}
+    out["text"] = F.when(F.col("__whole"), text).otherwise(cut)
+    if "n_chars" in out:
+        out["n_chars"] = F.when(F.col("__whole"), out["n_chars"]).otherwise(F.length(cut).cast(docs.schema["n_chars"].dataType))
+    return copies.select(*[x.alias(c) for c, x in out.items()])

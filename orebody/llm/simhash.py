@@ -47,6 +47,10 @@ STAGE_BANDS, STAGE_BAND_HASHES = 16, 3
 STAGE_LEAST_EQUAL = 26
 #: Best partners that every text of a band's group proposes, besides a maximum spanning forest.
 STAGE_PARTNERS = 8
+#: Texts of a band's group that are compared with each other at once; larger groups are cut in the order of their other min-hashes.
+STAGE_CHUNK = 1024
+#: Rows of a band's group beyond which no single task holds it; more, if more than 1 / LARGE_LABELS of all rows.
+STAGE_HOT = 16_384
 #: Rows (bands of texts) in a partition of a stage.
 STAGE_ROWS = 1_000_000
 #: (fingerprints up to, bit blocks): longer keys once groups would grow large; all give the same links.
@@ -305,8 +309,7 @@ def likely_pairs(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(n):
         equal = (sketches == sketches[at]).sum(axis=1)
         equal[at] = -1
-        near = np.argpartition(-equal, STAGE_PARTNERS)[:STAGE_PARTNERS] if n > STAGE_PARTNERS + 1 else np.arange(n)
-        near = near[equal[near] >= STAGE_LEAST_EQUAL]
+        near = best_of(equal, STAGE_PARTNERS)
         if best[at] >= STAGE_LEAST_EQUAL:
             near = np.append(near, parent[at])
         left.append(np.full(len(near), at))
@@ -318,45 +321,119 @@ def likely_pairs(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left), np.concatenate(right)
 
 
-def candidates(nodes: DataFrame, n_nodes: int) -> DataFrame:
-    """Pairs (a < b) of ``nodes`` (node, mins) that may be near copies; they meet where all min-hashes of a band agree.
+def best_of(equal: np.ndarray, width: int) -> np.ndarray:
+    near = np.argpartition(-equal, width)[:width] if len(equal) > width + 1 else np.arange(len(equal))
+    return near[equal[near] >= STAGE_LEAST_EQUAL]
 
-    A pair that meets in a group of at most STAGE_PARTNERS + 1 texts is always among them.
+
+def pairs_across(sketches: np.ndarray, labels: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's ``width`` best partners among the rows with another label."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if (labels != labels[0]).any():
+        for at in range(len(sketches)):
+            near = best_of(np.where(labels == labels[at], -1, (sketches == sketches[at]).sum(axis=1)), width)
+            left.append(np.full(len(near), at))
+            right.append(near)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def turned(sketches: np.ndarray, band: int) -> np.ndarray:
+    """The sketches, beginning with the min-hashes after the band's own, by which its group is put in order."""
+    return np.roll(sketches, -(band + 1) * STAGE_BAND_HASHES, axis=1)
+
+
+def pairs_of_run(node: np.ndarray, sketches: np.ndarray, labels: np.ndarray, head: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a band's group, or of a stretch of it, whose texts are in order: those likely among each
+    STAGE_CHUNK of neighbours, and ties of each such chunk to the one before and to the group's head.  A text of a
+    group in which not all pairs are taken is given as a pair with itself.  With a width, pairs across labels only.
+    """
+    left, right = [], []
+    for s in range(0, len(node), STAGE_CHUNK):
+        part = slice(s, s + STAGE_CHUNK)
+        x, y = pairs_across(sketches[part], labels[part], width) if width else likely_pairs(sketches[part])
+        left.append(node[s + x])
+        right.append(node[s + y])
+        if not width:
+            left.append(node[[s, s]])
+            right.append(np.array([node[s - 1] if s else head, head]))
+    if len(node) > STAGE_PARTNERS + 1 and not width:
+        left.append(node)
+        right.append(node)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Pairs, each once, the lesser node first."""
+    found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1]))], names=["a", "b"])
+
+
+def candidates(nodes: DataFrame, n_nodes: int, width: int = 0) -> DataFrame:
+    """Pairs (a < b) of ``nodes`` (node, mins, label) that may be near copies; they meet where all min-hashes of a band agree.
+
+    A pair that meets in a group of at most STAGE_PARTNERS + 1 texts is always among them; texts of larger groups
+    are given as pairs (a, a) besides.  With a ``width``, each text's so many best partners of another label are given.
+    Work grows with the rows, however large a group: it is cut into chunks of neighbours in the order of its other
+    min-hashes, another order in each band.  Groups of so many rows that a task should not hold them are dealt by
+    ranges of that order.
     """
     n_hashes = STAGE_BANDS * STAGE_BAND_HASHES
 
     def deal(batches):
         for batch in batches:
             mins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, n_hashes)
-            sketches = pa.array([r.tobytes() for r in mins.astype(np.uint8)], pa.binary())
+            small = mins.astype(np.uint8)
             keys = band_keys(mins).view(np.int64)
             for k in range(STAGE_BANDS):
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, k])), batch.column(0), sketches], names=["key", "node", "sketch"])
+                sketches = pa.array([r.tobytes() for r in turned(small, k)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, k])), batch.column(0), sketches, batch.column(2)], names=["key", "node", "sketch", "label"])
+
+    def loaded(columns):
+        key, node, label = (columns[k].to_numpy(zero_copy_only=False) for k in (0, 1, 3))
+        return key, node, np.frombuffer(b"".join(columns[2].to_pylist()), np.uint8).reshape(-1, n_hashes), label
 
     def join(batches):
-        parts = []
-        for batch in batches:
-            key, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
-            parts.append((key, node, np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, n_hashes)))
+        parts = [loaded(batch.columns) for batch in batches]
         if not parts:
             return
-        key, node, sketches = (np.concatenate(c) for c in zip(*parts))
+        key, node, sketches, label = (np.concatenate(c) for c in zip(*parts))
         order = np.argsort(key, kind="stable")
-        key, node = key[order], node[order]
+        key, node, label = key[order], node[order], label[order]
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(starts, len(key)))
         two = starts[sizes == 2]
         alike = (sketches[order[two]] == sketches[order[two + 1]]).sum(axis=1) >= STAGE_LEAST_EQUAL
         pairs = [(node[two[alike]], node[two[alike] + 1])]
-        for s, n in zip(starts[sizes > 2], sizes[sizes > 2]):
-            x, y = likely_pairs(sketches[order[s : s + n]])
-            pairs.append((node[s + x], node[s + y]))
-        a, b = (np.concatenate(c) for c in zip(*pairs))
-        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1]))], names=["a", "b"])
-
-    dealt = nodes.select("node", "mins").mapInArrow(deal, "key bigint, node bigint, sketch binary")
-    return dealt.repartition(max(partitions_for(nodes), n_nodes * STAGE_BANDS // STAGE_ROWS), "key").mapInArrow(join, "a bigint, b bigint").distinct()
+        for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            at = np.arange(s, s + n)
+            held = sketches[order[at]]
+            if n > STAGE_CHUNK:
+                line = np.lexsort((node[at], *held.T[::-1]))
+                at, held = at[line], held[line]
+            pairs.append(pairs_of_run(node[at], held, label[at], node[at].min(), width))
+        yield pair_batch(*(np.concatenate(c) for c in zip(*pairs)))
+
+    def join_stretches(batches):
+        """Rows in order of key and sketch, with their group's head; a stretch of a group is what a batch holds."""
+        for batch in batches:
+            key, node, sketches, label = loaded(batch.columns)
+            head = batch.column(4).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            runs = zip(starts.tolist(), [*starts[1:].tolist(), len(key)])
+            pairs = [pairs_of_run(node[a:b], sketches[a:b], label[a:b], head[a], width) for a, b in runs]
+            yield pair_batch(*(np.concatenate(c) for c in zip(*pairs)))
+
+    schema, n_rows = "a bigint, b bigint", n_nodes * STAGE_BANDS
+    n_parts = max(partitions_for(nodes), n_rows // STAGE_ROWS)
+    dealt = nodes.select("node", "mins", "label").mapInArrow(deal, "key bigint, node bigint, sketch binary, label bigint")
+    limit = max(STAGE_HOT, n_rows // LARGE_LABELS)  # so that at most LARGE_LABELS keys are broadcast
+    hot = checkpoint(dealt.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter(F.col("n") > limit).select("key", "head"))
+    if hot.isEmpty():
+        return dealt.repartition(n_parts, "key").mapInArrow(join, schema).distinct()
+    marked = dealt.join(F.broadcast(hot), "key", "left").select("key", "node", "sketch", "label", "head")
+    found = marked.filter("head IS NULL").drop("head").repartition(n_parts, "key").mapInArrow(join, schema)
+    ranged = marked.filter("head IS NOT NULL").repartitionByRange(n_parts, "key", "sketch").sortWithinPartitions("key", "sketch")
+    return found.unionByName(ranged.mapInArrow(join_stretches, schema)).distinct()
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -365,25 +442,55 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return (len(a) + len(b) - both) / both if both else 1.0
 
 
-def settled_links(docs: DataFrame, pairs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets of shingles have that Jaccard similarity or more, by the sets themselves."""
+def sets_of(docs: DataFrame, pairs: DataFrame, shingle_words: int) -> DataFrame:
+    """(node, hashes): the sets of shingles that ``pairs`` (a, b) ask for."""
 
     def collect(batches):
         for batch in batches:
             sets = [shingle_set(t, shingle_words) for t in batch.column(0).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.array(np.array([node_of(h) for h in sets], np.int64)), pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "hashes"])
 
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = docs.select("text").mapInArrow(collect, "node bigint, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))
+    return checkpoint(sets.join(wanted, "node", "left_semi"))
+
+
+def settled_links(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets of shingles have that Jaccard similarity or more, by the sets themselves."""
+
     def settle(batches):
         for batch in batches:
             x, y = ([np.frombuffer(h, np.uint64) for h in batch.column(k).to_pylist()] for k in (2, 3))
             alike = np.fromiter((jaccard(p, q) >= similarity for p, q in zip(x, y)), bool, len(x))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(alike)) for k in (0, 1)], names=["a", "b"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = docs.select("text").mapInArrow(collect, "node bigint, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))
-    sets = checkpoint(sets.join(wanted, "node", "left_semi"))
     left, right = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(settle, "a bigint, b bigint")
+    return checkpoint(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(settle, "a bigint, b bigint"))
+
+
+def near_copy_labels(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle_words: int, similarity: float) -> DataFrame:
+    """(node, label) of the components of ``nodes`` (node, mins) that links of that similarity make.
+
+    Texts of groups in which not all pairs were taken ask again: for twice as many partners each time, of other
+    components than their own, until a round finds no further link.
+    """
+    found = checkpoint(candidates(nodes.withColumn("label", F.col("node")), n_nodes))
+    tested = found.filter("a < b")
+    crowded = found.filter("a = b").select(F.col("a").alias("node"))
+    sets = sets_of(docs, tested, shingle_words)
+    links = drawn_in(settled_links(sets, tested, similarity))
+    labels = components(links).withColumnRenamed("fp", "node")
+    width = STAGE_PARTNERS
+    while not crowded.isEmpty():
+        width *= 2
+        open_ = checkpoint(nodes.join(crowded, "node", "left_semi").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        more = checkpoint(candidates(open_, n_nodes, width).filter("a < b").join(tested, ["a", "b"], "left_anti"))
+        further = settled_links(sets, more, similarity)
+        if further.isEmpty():
+            break
+        tested, links = tested.unionByName(more), drawn_in(links.unionByName(further))
+        labels = components(links).withColumnRenamed("fp", "node")
+    return labels
 
 
 def drawn_in(edges: DataFrame, rounds: int = 2) -> DataFrame:
@@ -470,21 +577,21 @@ def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, s
     """
     marks = checkpoint(signatures(docs, shingle_words))
     nodes = checkpoint(marks.groupBy("node").agg(F.first("mins").alias("mins"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("least")))
-    pairs = checkpoint(candidates(nodes, nodes.count()))
-    labels = components(drawn_in(settled_links(docs, pairs, shingle_words, similarity))).withColumnRenamed("fp", "node")
+    labels = near_copy_labels(docs, nodes, nodes.count(), shingle_words, similarity)
     kept = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct("least", "node")).alias("first"))
     kept = checkpoint(kept.select(F.col("first.least.doc_id").alias("__id"), F.col("first.node").alias("__node")))
+    names, numbers = docs.columns, [f"c{k}" for k in range(len(docs.columns))]
+    plain = docs.toDF(*numbers)  # no name of the input's can clash with those below
+    at, doc_id = names.index("text"), F.col(f"c{names.index('doc_id')}").cast("long")
     if marks.count() == marks.select("doc_id").distinct().count():
-        return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    # an id that several rows have does not tell them apart: rows are found by their signatures, one of equals stays
-    at = docs.columns.index("text")
-    names = [f.name for f in docs.schema.fields]
+        return plain.join(kept, doc_id.eqNullSafe(F.col("__id")), "left_semi").toDF(*names)
 
+    # an id that several rows have does not tell them apart: rows are found by their signatures, one of equals stays
     def sign(batches):
         for batch in batches:
             nodes_of = pa.array(np.array([node_of(shingle_set(t, shingle_words)) for t in batch.column(at).cast(pa.binary())], np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, nodes_of], names=[*names, "__sig"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes_of], names=[*numbers, "__sig"])
 
-    signed = docs.mapInArrow(sign, StructType([*docs.schema.fields, StructField("__sig", LongType())]))
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__sig") == F.col("__node"))
-    return signed.join(kept, match, "left_semi").dropDuplicates(["doc_id", "__sig"]).select(*names)
+    signed = plain.mapInArrow(sign, StructType([*plain.schema.fields, StructField("__sig", LongType())]))
+    match = doc_id.eqNullSafe(F.col("__id")) & (F.col("__sig") == F.col("__node"))
+    return signed.join(kept, match, "left_semi").dropDuplicates([f"c{names.index('doc_id')}", "__sig"]).drop("__sig").toDF(*names)

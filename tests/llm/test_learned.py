@@ -130,6 +130,43 @@ def test_odd_inputs(spark, odd):
     assert substrings.deduplicate(odd.limit(0)).count() == suffixes.deduplicate(odd.limit(0)).count() == 0
 
 
+ODD = [(1, None, "de", "a", 0), (2, "", None, "a", 0), (3, "  \n\t ", "de", None, 5), (None, "an own text without an id, long enough", "de", "b", 40), (4, "same text " * 60, "en", "b", 600), (4, "same text " * 60, "en", "b", 600),
+       (5, "same text " * 60, None, "c", None), (6, "the leaked words of a benchmark item are ten in all", "en", "c", 50), (7, "one", "en", None, 3), (8, "ünï cødé " * 300_000, "en", "c", 2_700_000)]
+CLASHES = "__doc string, size int, taken int, __id int, __h int, __hash int, node int, label int, key int, c0 int, c1 int, score int"
+
+
+def odd_tables(spark, folder, rows):
+    """Tables of a pipeline run in which documents have columns by the operators' own names."""
+    names = [c.split()[0] for c in CLASHES.split(", ")]
+    docs = spark.createDataFrame([(*r, *["x" if c == "__doc" else 7 for c in names]) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {CLASHES}")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, "the leaked words of a benchmark item are ten"), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(None, 1, 1), (4, None, None), (90, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Without labels of both classes nothing is rejected; copies, leaks and empty texts go, each by its stage."""
+    docs = odd_tables(spark, str(tmp_path), ODD)
+    want = {"quality": 10, "near_copies": 6, "contamination": 5}
+    seen = docs
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        seen = stage(spark, seen, str(tmp_path)).cache()
+        assert seen.columns == docs.columns
+        if name in want:
+            assert seen.count() == want[name], name
+    ids = {r.doc_id for r in seen.select("doc_id").collect()}
+    assert ids <= {None, 4, 7, 8} and 8 in ids  # texts without words are in no mix
+    packed = corpus_pipeline.STAGES[4][1](spark, seen, str(tmp_path)).collect()
+    assert {d for r in packed for d in r.doc_ids} == ids
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(packed)
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    odd_tables(spark, str(tmp_path), [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns, n = docs.columns, docs.count()
@@ -165,3 +202,50 @@ def test_near_copies_count_a_shingle_once(spark):
     a, b, _ = planted(200, 1, words=300)
     rows = [(1, line + a), (2, line + b), (3, " ".join("z%d" % k for k in range(300)) + " " + line), (4, " ".join("z%d" % k for k in range(300)) + " " + line * 3)]
     assert {r.doc_id for r in simhash.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {1, 2, 3}
+
+
+def jaccard_groups(rows, k=5, least=0.8):
+    """Least id of each row's component, by all pairs of exact sets of shingles."""
+    sets = [frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if (w := t.lower().split()) else frozenset() for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(a):
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        return a
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both >= least * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {rows[find(a)][0] for a in range(len(rows))}
+
+
+@pytest.mark.parametrize("chunk, hot", [(1024, 16384), (16, 16384), (16, 40)])
+def test_large_families_of_near_copies(spark, monkeypatch, chunk, hot):
+    """Families far larger than a chunk, whole, in chunks and dealt by ranges: the same document of each stays."""
+    monkeypatch.setattr(simhash, "STAGE_CHUNK", chunk)
+    monkeypatch.setattr(simhash, "STAGE_HOT", hot)
+    rnd = random.Random(11)
+    rows = []
+    for family in range(3):
+        base = ["f%dw%d" % (family, rnd.randrange(10**6)) for _ in range(150)]
+        for i in range(260):
+            words = list(base)
+            for k in rnd.sample(range(150), rnd.randrange(1, 5)):
+                words[k] = "c%d" % rnd.randrange(10**6)
+            rows.append((family + 3 * i, " ".join(words)))
+    rows += [(10_000 + i, " ".join("s%d" % rnd.randrange(10**6) for _ in range(40))) for i in range(60)]
+    rows.sort()
+    kept = {r.doc_id for r in simhash.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == jaccard_groups(rows)
+
+
+def test_near_copies_of_the_table(spark):
+    """The small table's texts by all pairs of exact sets."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
+    assert {r.doc_id for r in simhash.first_of_groups(docs).collect()} == jaccard_groups(rows)
