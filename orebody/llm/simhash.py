@@ -43,10 +43,16 @@ STAGE_SHINGLE_WORDS = 5
 STAGE_SIMILARITY = 0.8
 #: Bands of a stage's min-hashes and hashes in a band: of pairs at 0.8, (1 - 0.8 ** 3) ** 16, one in 100,000, agree in no band.
 STAGE_BANDS, STAGE_BAND_HASHES = 16, 3
+#: Min-hashes of a text.
+SKETCH = STAGE_BANDS * STAGE_BAND_HASHES
 #: Equal min-hashes from which a pair that meets is a candidate: of pairs at 0.8, about one in 100,000 has fewer.
 STAGE_LEAST_EQUAL = 26
-#: Best partners that every text of a band's group proposes, besides a maximum spanning forest.
+#: Best partners of other components that a text of a large band's group is compared with; before, half of them and a
+#: maximum spanning forest.
 STAGE_PARTNERS = 8
+#: Min-hashes of texts of large groups, which tell pairs near 0.8 apart, and equal ones from which a pair is a candidate
+#: there: of pairs at 0.8, one in 20,000 has fewer.
+STAGE_FINE, STAGE_LEAST_FINE = 256, 180
 #: Texts of a band's group that are compared with each other at once; larger groups are cut in the order of their other min-hashes.
 STAGE_CHUNK = 1024
 #: Rows of a band's group beyond which no single task holds it; more, if more than 1 / LARGE_LABELS of all rows.
@@ -280,9 +286,8 @@ def links(marks: DataFrame, n_marks: int, radius: int = RADIUS, blocks: int | No
     return dealt.repartition(n_parts, "key").mapInArrow(join, "a bigint, b bigint").distinct()
 
 
-def min_hashes(hashes: np.ndarray) -> np.ndarray:
+def min_hashes(hashes: np.ndarray, n: int = SKETCH) -> np.ndarray:
     """Low half of the least mixed hash of a set, for every min-hash of a stage."""
-    n = STAGE_BANDS * STAGE_BAND_HASHES
     salts = mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     least = np.full(n, ~np.uint64(0))
     for i in range(0, len(hashes), 4096):
@@ -300,8 +305,9 @@ def band_keys(mins: np.ndarray) -> np.ndarray:
 
 
 def likely_pairs(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of which at least STAGE_LEAST_EQUAL columns agree: each row's STAGE_PARTNERS best, and a
-    maximum spanning forest (by Prim's rule), so that their number grows with the rows and not with all pairs.
+    """Pairs of rows of which at least STAGE_LEAST_EQUAL columns agree: of a few rows all, else half of
+    STAGE_PARTNERS best of each row, and a maximum spanning forest (by Prim's rule), so that their number grows with
+    the rows and not with all pairs.
     """
     n = len(sketches)
     best, parent, out = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, bool)
@@ -309,7 +315,7 @@ def likely_pairs(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(n):
         equal = (sketches == sketches[at]).sum(axis=1)
         equal[at] = -1
-        near = best_of(equal, STAGE_PARTNERS)
+        near = best_of(equal, STAGE_LEAST_EQUAL, n - 1 if n <= STAGE_PARTNERS + 1 else STAGE_PARTNERS // 2)
         if best[at] >= STAGE_LEAST_EQUAL:
             near = np.append(near, parent[at])
         left.append(np.full(len(near), at))
@@ -321,17 +327,20 @@ def likely_pairs(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left), np.concatenate(right)
 
 
-def best_of(equal: np.ndarray, width: int) -> np.ndarray:
-    near = np.argpartition(-equal, width)[:width] if len(equal) > width + 1 else np.arange(len(equal))
-    return near[equal[near] >= STAGE_LEAST_EQUAL]
+def best_of(equal: np.ndarray, least: int, most: int = STAGE_PARTNERS) -> np.ndarray:
+    near = np.argpartition(-equal, most)[:most] if len(equal) > most + 1 else np.arange(len(equal))
+    return near[equal[near] >= least]
 
 
-def pairs_across(sketches: np.ndarray, labels: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's ``width`` best partners among the rows with another label."""
+def pairs_across(fine: np.ndarray, labels: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The STAGE_PARTNERS best partners, among the rows with another label, of each row that asks."""
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if (labels != labels[0]).any():
-        for at in range(len(sketches)):
-            near = best_of(np.where(labels == labels[at], -1, (sketches == sketches[at]).sum(axis=1)), width)
+        for at in np.flatnonzero(asks).tolist():
+            other = np.flatnonzero(labels != labels[at])
+            equal = np.full(len(fine), -1)
+            equal[other] = (fine[other] == fine[at]).sum(axis=1)
+            near = best_of(equal, STAGE_LEAST_FINE)
             left.append(np.full(len(near), at))
             right.append(near)
     return np.concatenate(left), np.concatenate(right)
@@ -342,21 +351,21 @@ def turned(sketches: np.ndarray, band: int) -> np.ndarray:
     return np.roll(sketches, -(band + 1) * STAGE_BAND_HASHES, axis=1)
 
 
-def pairs_of_run(node: np.ndarray, sketches: np.ndarray, labels: np.ndarray, head: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+def pairs_of_run(node: np.ndarray, sketches: np.ndarray, labels: np.ndarray, head: int, across: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a band's group, or of a stretch of it, whose texts are in order: those likely among each
     STAGE_CHUNK of neighbours, and ties of each such chunk to the one before and to the group's head.  A text of a
-    group in which not all pairs are taken is given as a pair with itself.  With a width, pairs across labels only.
+    group in which not all pairs are taken is given as a pair with itself.  Or pairs ``across`` labels only.
     """
     left, right = [], []
     for s in range(0, len(node), STAGE_CHUNK):
         part = slice(s, s + STAGE_CHUNK)
-        x, y = pairs_across(sketches[part], labels[part], width) if width else likely_pairs(sketches[part])
+        x, y = pairs_across(sketches[part, SKETCH:-1], labels[part], sketches[part, -1] > 0) if across else likely_pairs(sketches[part])
         left.append(node[s + x])
         right.append(node[s + y])
-        if not width:
+        if not across:
             left.append(node[[s, s]])
             right.append(np.array([node[s - 1] if s else head, head]))
-    if len(node) > STAGE_PARTNERS + 1 and not width:
+    if len(node) > STAGE_PARTNERS + 1 and not across:
         left.append(node)
         right.append(node)
     return np.concatenate(left), np.concatenate(right)
@@ -368,29 +377,31 @@ def pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1]))], names=["a", "b"])
 
 
-def candidates(nodes: DataFrame, n_nodes: int, width: int = 0) -> DataFrame:
-    """Pairs (a < b) of ``nodes`` (node, mins, label) that may be near copies; they meet where all min-hashes of a band agree.
+def candidates(nodes: DataFrame, n_nodes: int, across: bool = False) -> DataFrame:
+    """Pairs (a < b) of ``nodes`` (node, mins) that may be near copies; they meet where all min-hashes of a band agree.
 
     A pair that meets in a group of at most STAGE_PARTNERS + 1 texts is always among them; texts of larger groups
-    are given as pairs (a, a) besides.  With a ``width``, each text's so many best partners of another label are given.
-    Work grows with the rows, however large a group: it is cut into chunks of neighbours in the order of its other
-    min-hashes, another order in each band.  Groups of so many rows that a task should not hold them are dealt by
-    ranges of that order.
+    are given as pairs (a, a) besides.  With ``across``, the best partners of another label of texts that ask are
+    given; ``nodes`` then have label and fine, the finer min-hashes and a byte that tells whether they ask; every second
+    band is taken, in which all but three of 1000 pairs at 0.8 meet.  Work grows with the rows, however large a group: it is cut into chunks of
+    neighbours in the order of its other min-hashes, another order in each band.  Groups of so many rows that a
+    task should not hold them are dealt by ranges of that order.
     """
-    n_hashes = STAGE_BANDS * STAGE_BAND_HASHES
+    size = SKETCH + (STAGE_FINE + 1 if across else 0)
 
     def deal(batches):
         for batch in batches:
-            mins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, n_hashes)
+            mins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, SKETCH)
             small = mins.astype(np.uint8)
             keys = band_keys(mins).view(np.int64)
-            for k in range(STAGE_BANDS):
-                sketches = pa.array([r.tobytes() for r in turned(small, k)], pa.binary())
+            fine = batch.column(3).to_pylist()
+            for k in range(0, STAGE_BANDS, 2 if across else 1):
+                sketches = pa.array([r.tobytes() + f for r, f in zip(turned(small, k), fine)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, k])), batch.column(0), sketches, batch.column(2)], names=["key", "node", "sketch", "label"])
 
     def loaded(columns):
         key, node, label = (columns[k].to_numpy(zero_copy_only=False) for k in (0, 1, 3))
-        return key, node, np.frombuffer(b"".join(columns[2].to_pylist()), np.uint8).reshape(-1, n_hashes), label
+        return key, node, np.frombuffer(b"".join(columns[2].to_pylist()), np.uint8).reshape(-1, size), label
 
     def join(batches):
         parts = [loaded(batch.columns) for batch in batches]
@@ -402,15 +413,15 @@ def candidates(nodes: DataFrame, n_nodes: int, width: int = 0) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(starts, len(key)))
         two = starts[sizes == 2]
-        alike = (sketches[order[two]] == sketches[order[two + 1]]).sum(axis=1) >= STAGE_LEAST_EQUAL
+        alike = (sketches[order[two], :SKETCH] == sketches[order[two + 1], :SKETCH]).sum(axis=1) >= STAGE_LEAST_EQUAL
         pairs = [(node[two[alike]], node[two[alike] + 1])]
         for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
             at = np.arange(s, s + n)
             held = sketches[order[at]]
             if n > STAGE_CHUNK:
-                line = np.lexsort((node[at], *held.T[::-1]))
+                line = np.lexsort((node[at], *held[:, :SKETCH].T[::-1]))
                 at, held = at[line], held[line]
-            pairs.append(pairs_of_run(node[at], held, label[at], node[at].min(), width))
+            pairs.append(pairs_of_run(node[at], held, label[at], node[at].min(), across))
         yield pair_batch(*(np.concatenate(c) for c in zip(*pairs)))
 
     def join_stretches(batches):
@@ -420,12 +431,14 @@ def candidates(nodes: DataFrame, n_nodes: int, width: int = 0) -> DataFrame:
             head = batch.column(4).to_numpy(zero_copy_only=False)
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             runs = zip(starts.tolist(), [*starts[1:].tolist(), len(key)])
-            pairs = [pairs_of_run(node[a:b], sketches[a:b], label[a:b], head[a], width) for a, b in runs]
+            pairs = [pairs_of_run(node[a:b], sketches[a:b], label[a:b], head[a], across) for a, b in runs]
             yield pair_batch(*(np.concatenate(c) for c in zip(*pairs)))
 
     schema, n_rows = "a bigint, b bigint", n_nodes * STAGE_BANDS
     n_parts = max(partitions_for(nodes), n_rows // STAGE_ROWS)
-    dealt = nodes.select("node", "mins", "label").mapInArrow(deal, "key bigint, node bigint, sketch binary, label bigint")
+    if not across:
+        nodes = nodes.withColumn("label", F.col("node")).withColumn("fine", F.lit(b""))
+    dealt = nodes.select("node", "mins", "label", "fine").mapInArrow(deal, "key bigint, node bigint, sketch binary, label bigint")
     limit = max(STAGE_HOT, n_rows // LARGE_LABELS)  # so that at most LARGE_LABELS keys are broadcast
     hot = checkpoint(dealt.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter(F.col("n") > limit).select("key", "head"))
     if hot.isEmpty():
@@ -471,26 +484,41 @@ def settled_links(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataF
 def near_copy_labels(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle_words: int, similarity: float) -> DataFrame:
     """(node, label) of the components of ``nodes`` (node, mins) that links of that similarity make.
 
-    Texts of groups in which not all pairs were taken ask again: for twice as many partners each time, of other
-    components than their own, until a round finds no further link.
+    Texts of groups in which not all pairs were taken ask again, for their best partners of other components by
+    more min-hashes, until a round finds no further link.
     """
-    found = checkpoint(candidates(nodes.withColumn("label", F.col("node")), n_nodes))
+    found = checkpoint(candidates(nodes, n_nodes))
     tested = found.filter("a < b")
     crowded = found.filter("a = b").select(F.col("a").alias("node"))
     sets = sets_of(docs, tested, shingle_words)
     links = drawn_in(settled_links(sets, tested, similarity))
     labels = components(links).withColumnRenamed("fp", "node")
-    width = STAGE_PARTNERS
-    while not crowded.isEmpty():
-        width *= 2
-        open_ = checkpoint(nodes.join(crowded, "node", "left_semi").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-        more = checkpoint(candidates(open_, n_nodes, width).filter("a < b").join(tested, ["a", "b"], "left_anti"))
+    if crowded.isEmpty():
+        return labels
+
+    def refine(batches):
+        for batch in batches:
+            mins = [min_hashes(np.frombuffer(h, np.uint64), STAGE_FINE).astype(np.uint8).tobytes() for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(mins, pa.binary())], names=["node", "mins", "fine"])
+
+    # a text that no pair asked for has no likely partner in any group, and so no set here
+    rows = nodes.select("node", "mins").join(crowded, "node", "left_semi").join(sets, "node")
+    fine = checkpoint(rows.mapInArrow(refine, "node bigint, mins binary, fine binary"))
+    open_ = fine.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).withColumn("asks", F.lit(True))
+    while True:
+        asking = open_.withColumn("fine", F.concat("fine", F.when(F.col("asks"), F.lit(b"\x01")).otherwise(F.lit(b"\x00"))))
+        more = checkpoint(candidates(asking, n_nodes, True).filter("a < b").join(tested, ["a", "b"], "left_anti"))
         further = settled_links(sets, more, similarity)
         if further.isEmpty():
-            break
+            return labels
         tested, links = tested.unionByName(more), drawn_in(links.unionByName(further))
         labels = components(links).withColumnRenamed("fp", "node")
-    return labels
+        # what joined a larger component has other partners than before, and asks again
+        was = open_.select("node", "mins", F.col("label").alias("was"), "fine").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        parts = was.groupBy("label", "was").agg(F.count("*").alias("__n"))
+        joined = parts.groupBy("label").agg(F.max_by("was", F.struct("__n", "was")).alias("largest")).select(F.col("label").alias("__label"), "largest")
+        again = parts.join(joined, F.col("label") == F.col("__label")).filter("was <> largest").select("was", F.lit(True).alias("asks"))
+        open_ = checkpoint(was.join(again, "was", "left").select("node", "mins", "label", "fine", F.coalesce("asks", F.lit(False)).alias("asks")))
 
 
 def drawn_in(edges: DataFrame, rounds: int = 2) -> DataFrame:
