@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orebody.sources.shared import checkpoint, ensure_checkpoint_dir  # noqa: F401  shared with the operators
 
 #: Bytes of text that a numpy kernel works on at once; bounds a Python worker's memory.
-KERNEL_BYTES = 2 << 20
+KERNEL_BYTES = 1 << 20
 
 #: Fixed constants: splitmix64 increments and multipliers.
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -56,6 +56,16 @@ def row_slices(offs: np.ndarray, limit: int = KERNEL_BYTES):
         i = min(j, n)
 
 
+def in_slices(batches, column: int, limit: int = 4 * KERNEL_BYTES):
+    """The batches, cut so that the texts of a column hold at most ``limit`` bytes each (or one row); what a batch
+    took is given back when the next is asked for."""
+    for batch in batches:
+        _, offs = text_buffers(batch.column(column))
+        for i, j in row_slices(offs, limit):
+            yield batch.slice(i, j - i)
+    pa.default_memory_pool().release_unused()
+
+
 class Poly:
     """Polynomial hash modulo 2**64 of any span of a byte buffer, from one prefix sum.
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from orebody.llm.common import checkpoint, mix64, partitions_for
+from orebody.llm.common import checkpoint, in_slices, mix64, partitions_for
 
 RADIUS = 4
 SHINGLE_WORDS = 4
@@ -459,7 +459,7 @@ def sets_of(docs: DataFrame, pairs: DataFrame, shingle_words: int) -> DataFrame:
     """(node, hashes): the sets of shingles that ``pairs`` (a, b) ask for."""
 
     def collect(batches):
-        for batch in batches:
+        for batch in in_slices(batches, 0):
             sets = [shingle_set(t, shingle_words) for t in batch.column(0).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.array(np.array([node_of(h) for h in sets], np.int64)), pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "hashes"])
 
@@ -472,7 +472,7 @@ def settled_links(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataF
     """Those of ``pairs`` (a, b) whose sets of shingles have that Jaccard similarity or more, by the sets themselves."""
 
     def settle(batches):
-        for batch in batches:
+        for batch in in_slices(batches, 2):
             x, y = ([np.frombuffer(h, np.uint64) for h in batch.column(k).to_pylist()] for k in (2, 3))
             alike = np.fromiter((jaccard(p, q) >= similarity for p, q in zip(x, y)), bool, len(x))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(alike)) for k in (0, 1)], names=["a", "b"])
@@ -589,7 +589,7 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
     """(doc_id, node, mins): the name of the text's set of shingles, and its min-hashes."""
 
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches, 1):
             sets = [shingle_set(t, shingle_words) for t in batch.column(1).cast(pa.binary())]
             mins = pa.array([min_hashes(h).tobytes() for h in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array([node_of(h) for h in sets], np.int64)), mins], names=["doc_id", "node", "mins"])
