@@ -79,8 +79,9 @@ def train(rows, labels: np.ndarray, rounds: int = 12, rate: float = 0.05, decay:
     bias, gb = 0.0, 1e-6
     gl, gf = np.full(N_SLOTS, 1e-6, np.float32), np.full((N_SLOTS, FACTORS), 1e-6, np.float32)
     weight = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean())
+    n_batches = max(1, min(16, len(rows) // 16), len(rows) // 256)  # of few rows, small ones
     for _ in range(rounds):
-        for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 256)):
+        for part in np.array_split(rng.permutation(len(rows)), n_batches):
             lens = np.array([len(rows[i][0]) for i in part])
             bounds = np.concatenate([[0], np.cumsum(lens)])
             ids = np.concatenate([rows[i][0] for i in part])
