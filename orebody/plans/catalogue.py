@@ -132,14 +132,14 @@ def entity_grandchild_semijoin(spark, sf_dir):
 
 
 @query(
-    """SELECT c_custkey, coalesce(n, 0) AS count_orders, round(coalesce(s, 0), 2) AS sum_orders_o_totalprice, round(m, 4) AS mean_orders_o_totalprice, mx AS max_orders_o_totalprice,
+    """SELECT c_custkey, coalesce(n, 0) AS count_orders, round(coalesce(s, 0), 2) AS sum_orders_o_totalprice, round(m, 6) AS mean_orders_o_totalprice, mx AS max_orders_o_totalprice,
     mn AS min_orders_o_totalprice, round(sd, 4) AS std_orders_o_totalprice, u AS num_unique_orders_o_orderstatus FROM customer LEFT JOIN
     (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS s, avg(o_totalprice) AS m, max(o_totalprice) AS mx, min(o_totalprice) AS mn, stddev_samp(o_totalprice) AS sd, count(DISTINCT o_orderstatus) AS u
      FROM orders GROUP BY 1) ON o_custkey = c_custkey"""
 )
 def dfs_depth1_orders(spark, sf_dir):
     made = synthesis.synthesise(tree(spark, sf_dir), "customer", AutoFeatureConfig(max_depth=1, trans_primitives=())).matrix
-    r = {"sum_orders_o_totalprice": 2, "mean_orders_o_totalprice": 4, "std_orders_o_totalprice": 4}
+    r = {"sum_orders_o_totalprice": 2, "mean_orders_o_totalprice": 6, "std_orders_o_totalprice": 4}
     cols = ["count_orders", "sum_orders_o_totalprice", "mean_orders_o_totalprice", "max_orders_o_totalprice", "min_orders_o_totalprice", "std_orders_o_totalprice", "num_unique_orders_o_orderstatus"]
     return made.select("c_custkey", *[F.round(c, r[c]).alias(c) if c in r else c for c in cols])
 
