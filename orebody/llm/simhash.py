@@ -29,7 +29,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -514,19 +514,40 @@ def near_copy_labels(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle_wo
         tested, links = tested.unionByName(more), drawn_in(links.unionByName(further))
         labels = components(links).withColumnRenamed("fp", "node")
         # what joined a larger component has other partners than before, and asks again
-        was = open_.select("node", "mins", F.col("label").alias("was"), "fine").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        parts = was.groupBy("label", "was").agg(F.count("*").alias("__n"))
-        joined = parts.groupBy("label").agg(F.max_by("was", F.struct("__n", "was")).alias("largest")).select(F.col("label").alias("__label"), "largest")
-        again = parts.join(joined, F.col("label") == F.col("__label")).filter("was <> largest").select("was", F.lit(True).alias("asks"))
-        open_ = checkpoint(was.join(again, "was", "left").select("node", "mins", "label", "fine", F.coalesce("asks", F.lit(False)).alias("asks")))
+        was = checkpoint(open_.select("node", "mins", F.col("label").alias("was"), "fine").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+        parts = checkpoint(was.groupBy("label", "was").agg(F.count("*").alias("__n")))
+        joined = parts.groupBy("label").agg(F.max_by("was", F.struct("__n", "was")).alias("largest"))
+        again = looked_up(parts, "label", joined, frequent(parts, "label", n_nodes)).filter("was <> largest").select("was", F.lit(True).alias("asks"))
+        asked = looked_up(was, "was", again, frequent(was, "was", n_nodes), "left")
+        open_ = checkpoint(asked.select("node", "mins", "label", "fine", F.coalesce("asks", F.lit(False)).alias("asks")))
+
+
+def frequent(rows: DataFrame, key: str, n: int) -> DataFrame | None:
+    """The keys that over a share of 1 / LARGE_LABELS of ``n`` rows have, and over LEAST_LARGE: at most LARGE_LABELS; none: None."""
+    many = rows.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > max(LEAST_LARGE, n // LARGE_LABELS))
+    often = checkpoint(many.select(key).repartition(1))
+    return None if often.isEmpty() else often
+
+
+def looked_up(rows: DataFrame, key: str, table: DataFrame, often: DataFrame | None, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row a key at most; no task gathers the rows of a key that
+    ``often`` holds, as these keys' rows of the table are broadcast.
+    """
+    if often is None:
+        return rows.join(table, key, how)
+    few = F.broadcast(often)
+    held = often.join(table.join(few, key, "left_semi"), key, how)
+    return rows.join(few, key, "left_anti").join(table, key, how).unionByName(rows.join(F.broadcast(held), key))
 
 
 def drawn_in(edges: DataFrame, rounds: int = 2) -> DataFrame:
     """Fewer links (a < b) with the same components: a round ties all lesser neighbours of a node, and the node, to
     the least of them.  A node that many groups tie to different heads so keeps one link, and heads' links coincide.
     """
+    n = edges.count()
     for _ in range(rounds):
-        tied = checkpoint(edges.withColumn("least", F.min("a").over(Window.partitionBy("b"))))
+        least = edges.groupBy("b").agg(F.min("a").alias("least"))
+        tied = checkpoint(looked_up(edges, "b", least, frequent(edges, "b", n)))
         heads = tied.filter("a > least").select(F.col("least").alias("a"), F.col("a").alias("b"))
         edges = checkpoint(tied.select(F.col("least").alias("a"), "b").unionByName(heads).distinct())
     return edges
@@ -535,15 +556,19 @@ def drawn_in(edges: DataFrame, rounds: int = 2) -> DataFrame:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(fp, label): label is the least fp (signed order) that links reach, for every fp with a link.
 
-    A round gives each node the least label among its neighbours and then that label's own label.
+    A round gives each node the least label among its neighbours and then that label's own label.  Nodes of very
+    many links and labels of very many nodes are looked up by a broadcast.
     """
     both = checkpoint(edges.select(F.col("a").alias("fp"), F.col("b").alias("to")).unionByName(edges.select(F.col("b").alias("fp"), F.col("a").alias("to"))))
+    n = both.count()
+    hubs = frequent(both, "to", n)
     labels = checkpoint(both.groupBy("fp").agg(F.least(F.col("fp"), F.min("to")).alias("label")))
     for _ in range(most_rounds):
-        spread = both.join(labels.select(F.col("fp").alias("to"), "label"), "to").groupBy("fp").agg(F.min("label").alias("near"))
-        low = labels.join(spread, "fp").select("fp", F.least("label", "near").alias("low"), F.col("label").alias("was"))
+        spread = looked_up(both, "to", labels.select(F.col("fp").alias("to"), "label"), hubs).groupBy("fp").agg(F.min("label").alias("near"))
+        low = checkpoint(labels.join(spread, "fp").select("fp", F.least("label", "near").alias("low"), F.col("label").alias("was")))
         jump = labels.select(F.col("fp").alias("low"), F.col("label").alias("further"))
-        step = checkpoint(low.join(jump, "low", "left").select("fp", F.least("low", F.coalesce("further", "low")).alias("label"), "was"))
+        jumped = looked_up(low, "low", jump, frequent(low, "low", n), "left")
+        step = checkpoint(jumped.select("fp", F.least("low", F.coalesce("further", "low")).alias("label"), "was"))
         labels = step.select("fp", "label")
         if step.filter("label < was").isEmpty():
             return labels
