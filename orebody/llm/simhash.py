@@ -24,6 +24,7 @@ one shingle; repeated rows give repeated rows; null ids are never a component's
 from __future__ import annotations
 
 import itertools
+import math
 from itertools import accumulate
 
 import numpy as np
@@ -41,23 +42,29 @@ SEED = 42
 #: Near-duplicate stages: words of a shingle, and the Jaccard similarity of the sets of shingles from which texts are near copies.
 STAGE_SHINGLE_WORDS = 5
 STAGE_SIMILARITY = 0.8
-#: Bands of a stage's min-hashes and hashes in a band: of pairs at 0.8, (1 - 0.8 ** 3) ** 16, one in 100,000, agree in no band.
-STAGE_BANDS, STAGE_BAND_HASHES = 16, 3
-#: Min-hashes of a text.
-SKETCH = STAGE_BANDS * STAGE_BAND_HASHES
-#: Equal min-hashes from which a pair that meets is a candidate: of pairs at 0.8, about one in 100,000 has fewer.
-STAGE_LEAST_EQUAL = 26
-#: Best partners of other components that a text of a large band's group is compared with; before, half of them and a
-#: maximum spanning forest.
+#: SimHashes of a stage's sets; together the sketch of a text.
+STAGE_WORDS = 16
+#: Largest share of bits in which sketches of sets of that similarity differ on average: their cosine is 0.889 at least.
+STAGE_DIFFERS = 0.152
+#: Of pairs at that similarity, the share that may meet in no table of keys.
+STAGE_MISS = 1e-5
+#: Bits of a key: so many at least, and so many that a key has no more than STAGE_GROUP texts on average.
+STAGE_KEY_BITS, STAGE_GROUP = 8, 4096
+#: A table's rows carry two words: a pair that meets is a candidate if at most so many bits differ in the first and in
+#: both. Of pairs at 0.8, a share of STAGE_PASS at least has no more.
+STAGE_RADIUS, STAGE_MOST_BITS, STAGE_PASS = 17, 26, 0.95
+#: A text with more candidates than these in a table is crowded there.
 STAGE_PARTNERS = 8
-#: Min-hashes of texts of large groups, which tell pairs near 0.8 apart, and equal ones from which a pair is a candidate
-#: there: of pairs at 0.8, one in 20,000 has fewer.
-STAGE_FINE, STAGE_LEAST_FINE = 256, 180
-#: Texts of a band's group that are compared with each other at once; larger groups are cut in the order of their other min-hashes.
+#: Best partners of other components that a crowded text asks for in each table; as other texts meet in each, it gets
+#: many more of them in all.
+STAGE_ASKED = 2
+#: Bits of whole sketches in which such partners may differ: of pairs at 0.8, one in 20,000 has more.
+STAGE_MOST_SKETCH_BITS = 202
+#: Rows of a group whose sketches are compared with a text's at once; bounds memory.
 STAGE_CHUNK = 1024
-#: Rows of a band's group beyond which no single task holds it; more, if more than 1 / LARGE_LABELS of all rows.
+#: Rows of a key beyond which no single task holds them; more, if more than 1 / LARGE_LABELS of all rows.
 STAGE_HOT = 16_384
-#: Rows (bands of texts) in a partition of a stage.
+#: Rows (keys of texts) in a partition of a stage.
 STAGE_ROWS = 1_000_000
 #: (fingerprints up to, bit blocks): longer keys once groups would grow large; all give the same links.
 BLOCKS_BY_COUNT = ((40_000_000, 5), (4_000_000_000, 6), (1 << 63, 8))
@@ -68,6 +75,8 @@ PAIR_CHUNK = 1 << 20
 
 #: Every byte's bits, least significant first, as eight byte lanes of one word.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+#: One for each of the two votes on each word of a stage's sketches.
+_SALTS = mix64(np.arange(1, 2 * STAGE_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def shingle_hashes(text: bytes, k: int = SHINGLE_WORDS) -> np.ndarray:
@@ -286,167 +295,224 @@ def links(marks: DataFrame, n_marks: int, radius: int = RADIUS, blocks: int | No
     return dealt.repartition(n_parts, "key").mapInArrow(join, "a bigint, b bigint").distinct()
 
 
-def min_hashes(hashes: np.ndarray, n: int = SKETCH) -> np.ndarray:
-    """Low half of the least mixed hash of a set, for every min-hash of a stage."""
-    salts = mix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    least = np.full(n, ~np.uint64(0))
-    for i in range(0, len(hashes), 4096):
-        np.minimum(least, mix64(hashes[None, i : i + 4096] ^ salts[:, None]).min(axis=1), out=least)
-    return least.astype(np.uint32)
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """STAGE_WORDS SimHashes of a set of shingles, each of other hashes.
 
-
-def band_keys(mins: np.ndarray) -> np.ndarray:
-    """(texts, bands): a hash of each band's min-hashes and its number."""
-    bands = mins.reshape(len(mins), STAGE_BANDS, STAGE_BAND_HASHES).astype(np.uint64)
-    key = np.broadcast_to(np.arange(1, STAGE_BANDS + 1, dtype=np.uint64), bands.shape[:2])
-    for k in range(STAGE_BAND_HASHES):
-        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, k])
-    return key
-
-
-def likely_pairs(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of which at least STAGE_LEAST_EQUAL columns agree: of a few rows all, else half of
-    STAGE_PARTNERS best of each row, and a maximum spanning forest (by Prim's rule), so that their number grows with
-    the rows and not with all pairs.
+    A shingle votes twice on each bit, by two hashes, so that sets of odd and of even sizes tie alike: else sets of
+    four and of five shingles at a similarity of 0.8 would differ in 0.19 of the bits.
     """
-    n = len(sketches)
-    best, parent, out = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, bool)
-    left, right, at = [], [], 0
-    for _ in range(n):
-        equal = (sketches == sketches[at]).sum(axis=1)
-        equal[at] = -1
-        near = best_of(equal, STAGE_LEAST_EQUAL, n - 1 if n <= STAGE_PARTNERS + 1 else STAGE_PARTNERS // 2)
-        if best[at] >= STAGE_LEAST_EQUAL:
-            near = np.append(near, parent[at])
-        left.append(np.full(len(near), at))
-        right.append(near)
-        better = equal > best
-        best[better], parent[better] = equal[better], at
-        out[at] = True
-        at = int(np.argmax(np.where(out, -2, best)))
-    return np.concatenate(left), np.concatenate(right)
-
-
-def best_of(equal: np.ndarray, least: int, most: int = STAGE_PARTNERS) -> np.ndarray:
-    near = np.argpartition(-equal, most)[:most] if len(equal) > most + 1 else np.arange(len(equal))
-    return near[equal[near] >= least]
-
-
-def pairs_across(fine: np.ndarray, labels: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The STAGE_PARTNERS best partners, among the rows with another label, of each row that asks."""
+    counts = np.zeros(64 * STAGE_WORDS, np.int64)
+    for i in range(0, len(hashes), 127):  # a byte lane holds up to 255
+        votes = mix64(hashes[i : i + 127, None] ^ _SALTS).view(np.uint8).reshape(-1, 8 * STAGE_WORDS)
+        counts += _LANES[votes].sum(axis=0, dtype=np.uint64).view(np.uint8)
+    return np.packbits(counts > len(hashes), bitorder="little").view(np.uint64)
+
+
+def stage_keys(n_nodes: int) -> tuple[int, int]:
+    """(bits of a key, tables of keys): more bits as texts become more, and then more tables, with the same share of
+    pairs missed."""
+    bits = STAGE_KEY_BITS
+    while n_nodes > STAGE_GROUP << bits:
+        bits += 1
+    return bits, math.ceil(math.log(STAGE_MISS) / math.log1p(-STAGE_PASS * (1 - STAGE_DIFFERS) ** bits))
+
+
+def table_keys(sketches: np.ndarray, key_bits: int, tables: int):
+    """For each table, its number and a hash of that and of its own choice of the sketches' bits."""
+    bits = np.unpackbits(sketches.view(np.uint8), axis=1, bitorder="little")
+    weights = np.uint64(1) << np.arange(key_bits, dtype=np.uint64)
+    order, at = np.arange(bits.shape[1]), 0
+    for k in range(tables):
+        if at + key_bits > len(order):  # all bits are used: go on in another order
+            order, at = np.random.default_rng(k).permutation(bits.shape[1]), 0
+        chosen = (bits[:, order[at : at + key_bits]] * weights).sum(axis=1, dtype=np.uint64)
+        at += key_bits
+        yield k, mix64(chosen + mix64(np.full(1, k + 1, np.uint64)))
+
+
+def carried(table: int) -> tuple[int, int]:
+    """The two words of the sketch that a table's rows carry; 240 tables have other ones."""
+    return table % STAGE_WORDS, (table + 1 + table // STAGE_WORDS % (STAGE_WORDS - 1)) % STAGE_WORDS
+
+
+def near_pairs(fps: np.ndarray, more: np.ndarray, bounds: np.ndarray, radius: int, most_bits: int):
+    """Blocks of (i, j, bits): all pairs i < j inside groups whose fingerprints differ in at most ``radius`` bits, and
+    with those of ``more`` in at most ``most_bits``.
+
+    ``fps`` is sorted by group and Gray rank; ``bounds`` are the groups' edges.  The same index as in ``linked_roots``:
+    nodes of 64 and of 8 neighbours are compared by the bits that all of them share.
+    """
+    n = len(fps)
+    low_at, low_bounds = node_starts(bounds, 8)
+    low = Level(fps, np.full(n, ~np.uint64(0)), low_at)
+    up_at, up_bounds = node_starts(low_bounds, 8)
+    up = Level(low.value, low.mask, up_at)
+    low_end, padded, lanes = np.append(low_at[1:], n), np.append(fps, np.zeros(8, np.uint64)), np.arange(8)
+    at, groups_end = 0, len(up_at)
+    work = np.cumsum(up_bounds[np.searchsorted(up_bounds, np.arange(groups_end), side="right")] - np.arange(groups_end))
+    while at < groups_end:
+        to = min(max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + PAIR_CHUNK // 64, side="right"))), groups_end)
+        left, right = triangle(up_bounds, at, to)
+        at = to
+        shared = up.mask[left] & up.mask[right]
+        apart = np.bitwise_count((up.value[left] ^ up.value[right]) & shared)
+        keep = apart <= radius
+        left, right, shared, apart = left[keep], right[keep], shared[keep], apart[keep]
+        for s in range(0, len(left), PAIR_CHUNK // 4096):
+            e = s + PAIR_CHUNK // 4096
+            pair, i, j = children(left[s:e], right[s:e], up_at, len(low_at))
+            # bits tested above are not tested again: only those that the lower nodes share besides
+            besides = low.mask[i] & low.mask[j] & ~shared[s:e][pair]
+            keep = apart[s:e][pair] + np.bitwise_count((low.value[i] ^ low.value[j]) & besides) <= radius
+            i, j = i[keep], j[keep]
+            x, y = low_at[i][:, None] + lanes, low_at[j][:, None] + lanes
+            bits = np.bitwise_count(padded[x][:, :, None] ^ padded[y][:, None, :])
+            at_pair, a, b = np.nonzero(bits <= radius)
+            bits, ends_x, ends_y = bits[at_pair, a, b], low_end[i][at_pair], low_end[j][at_pair]
+            x, y = x[at_pair, a], y[at_pair, b]
+            keep = (x < y) & (x < ends_x) & (y < ends_y)
+            x, y = x[keep], y[keep]
+            bits = bits[keep] + np.bitwise_count(more[x] ^ more[y])
+            keep = bits <= most_bits
+            if keep.any():
+                yield x[keep], y[keep], bits[keep]
+
+
+def likely_pairs(fps: np.ndarray, more: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates among rows sorted by group and Gray rank.
+
+    All pairs of which one row has at most STAGE_PARTNERS; of rows with more, the best partner, and a pair (i, i) that
+    tells so.  So their number grows with the rows and not with all pairs.
+    """
+    n = len(fps)
+    partners, best = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max)
+    held, fresh = [np.zeros((2, 0), np.int64)], 0
+
+    def open_pairs():
+        pairs = np.concatenate(held, axis=1)
+        return pairs[:, (partners[pairs] <= STAGE_PARTNERS).any(axis=0)]
+
+    for i, j, bits in near_pairs(fps, more, bounds, STAGE_RADIUS, STAGE_MOST_BITS):
+        far = bits.astype(np.int64) << 40
+        for a, b in ((i, j), (j, i)):
+            np.add.at(partners, a, 1)
+            np.minimum.at(best, a, far | b)
+        held.append(np.stack([i, j]))
+        fresh += len(i)
+        if fresh > PAIR_CHUNK:
+            held, fresh = [open_pairs()], 0
+    pairs = open_pairs()
+    crowded = np.flatnonzero(partners > STAGE_PARTNERS)
+    return np.concatenate([pairs[0], crowded, crowded]), np.concatenate([pairs[1], best[crowded] & ((1 << 40) - 1), crowded])
+
+
+def pairs_across(sketches: np.ndarray, labels: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The STAGE_ASKED best partners, among the rows with another label, of each row that asks."""
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if (labels != labels[0]).any():
         for at in np.flatnonzero(asks).tolist():
-            other = np.flatnonzero(labels != labels[at])
-            equal = np.full(len(fine), -1)
-            equal[other] = (fine[other] == fine[at]).sum(axis=1)
-            near = best_of(equal, STAGE_LEAST_FINE)
+            parts = (sketches[s : s + STAGE_CHUNK] for s in range(0, len(sketches), STAGE_CHUNK))
+            bits = np.concatenate([np.bitwise_count(p ^ sketches[at]).sum(axis=1, dtype=np.int64) for p in parts])
+            near = np.flatnonzero((labels != labels[at]) & (bits <= STAGE_MOST_SKETCH_BITS))
+            near = near[np.argsort(bits[near], kind="stable")[:STAGE_ASKED]]
             left.append(np.full(len(near), at))
             right.append(near)
     return np.concatenate(left), np.concatenate(right)
 
 
-def turned(sketches: np.ndarray, band: int) -> np.ndarray:
-    """The sketches, beginning with the min-hashes after the band's own, by which its group is put in order."""
-    return np.roll(sketches, -(band + 1) * STAGE_BAND_HASHES, axis=1)
-
-
-def pairs_of_run(node: np.ndarray, sketches: np.ndarray, labels: np.ndarray, head: int, across: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a band's group, or of a stretch of it, whose texts are in order: those likely among each
-    STAGE_CHUNK of neighbours, and ties of each such chunk to the one before and to the group's head.  A text of a
-    group in which not all pairs are taken is given as a pair with itself.  Or pairs ``across`` labels only.
-    """
-    left, right = [], []
-    for s in range(0, len(node), STAGE_CHUNK):
-        part = slice(s, s + STAGE_CHUNK)
-        x, y = pairs_across(sketches[part, SKETCH:-1], labels[part], sketches[part, -1] > 0) if across else likely_pairs(sketches[part])
-        left.append(node[s + x])
-        right.append(node[s + y])
-        if not across:
-            left.append(node[[s, s]])
-            right.append(np.array([node[s - 1] if s else head, head]))
-    if len(node) > STAGE_PARTNERS + 1 and not across:
-        left.append(node)
-        right.append(node)
-    return np.concatenate(left), np.concatenate(right)
-
-
 def pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     """Pairs, each once, the lesser node first."""
     found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1]))], names=["a", "b"])
 
 
-def candidates(nodes: DataFrame, n_nodes: int, across: bool = False) -> DataFrame:
-    """Pairs (a < b) of ``nodes`` (node, mins) that may be near copies; they meet where all min-hashes of a band agree.
+def sketches_of(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, STAGE_WORDS)
+
+
+def dealt_by_key(dealt: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
+    """``dealt`` (key, node, ...) in partitions by the key.
 
-    A pair that meets in a group of at most STAGE_PARTNERS + 1 texts is always among them; texts of larger groups
-    are given as pairs (a, a) besides.  With ``across``, the best partners of another label of texts that ask are
-    given; ``nodes`` then have label and fine, the finer min-hashes and a byte that tells whether they ask; every second
-    band is taken, in which all but three of 1000 pairs at 0.8 meet.  Work grows with the rows, however large a group: it is cut into chunks of
-    neighbours in the order of its other min-hashes, another order in each band.  Groups of so many rows that a
-    task should not hold them are dealt by ranges of that order.
+    The rows of a key that a task should not hold are cut into parts, by the node's hash, and every two parts meet
+    under a key of their own: so each pair still meets.
     """
-    size = SKETCH + (STAGE_FINE + 1 if across else 0)
+    n_rows = n_nodes * stage_keys(n_nodes)[1]
+    n_parts = max(partitions_for(nodes), n_rows // STAGE_ROWS)
+    limit = max(STAGE_HOT, n_rows // LARGE_LABELS)  # so that at most LARGE_LABELS keys are broadcast
+    if n_nodes <= limit:  # a key has each node once
+        return dealt.repartition(n_parts, "key")
+    hot = dealt.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    hot = checkpoint(hot.select("key", F.ceil(2 * F.col("n") / limit).cast("int").alias("__parts")))
+    if not hot.isEmpty():
+        own, other = F.pmod(F.xxhash64("node"), F.col("__parts")).cast("int"), F.col("__other")
+        marked = dealt.join(F.broadcast(hot), "key", "left")
+        met = marked.filter("__parts IS NOT NULL").withColumn("__own", own).withColumn("__other", F.explode(F.expr("sequence(0, __parts - 1)"))).filter("__own <> __other")
+        met = met.withColumn("key", F.xxhash64("key", F.least("__own", other), F.greatest("__own", other)))
+        dealt = marked.filter("__parts IS NULL").select(*dealt.columns).unionByName(met.select(*dealt.columns))
+    return dealt.repartition(n_parts, "key")
+
+
+def candidates(nodes: DataFrame, n_nodes: int) -> DataFrame:
+    """Pairs (a < b) of ``nodes`` (node, sketch) that may be near copies; they meet where all bits of a table's key agree.
+
+    Pairs of which a text has few are all given; texts with many are given as pairs (a, a) besides.
+    """
+    key_bits, tables = stage_keys(n_nodes)
 
     def deal(batches):
         for batch in batches:
-            mins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, SKETCH)
-            small = mins.astype(np.uint8)
-            keys = band_keys(mins).view(np.int64)
-            fine = batch.column(3).to_pylist()
-            for k in range(0, STAGE_BANDS, 2 if across else 1):
-                sketches = pa.array([r.tobytes() + f for r, f in zip(turned(small, k), fine)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, k])), batch.column(0), sketches, batch.column(2)], names=["key", "node", "sketch", "label"])
-
-    def loaded(columns):
-        key, node, label = (columns[k].to_numpy(zero_copy_only=False) for k in (0, 1, 3))
-        return key, node, np.frombuffer(b"".join(columns[2].to_pylist()), np.uint8).reshape(-1, size), label
+            sketches = sketches_of(batch.column(1))
+            for k, key in table_keys(sketches, key_bits, tables):
+                one, two = (pa.array(np.ascontiguousarray(sketches[:, w]).view(np.int64)) for w in carried(k))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0), one, two], names=["key", "node", "one", "two"])
 
     def join(batches):
-        parts = [loaded(batch.columns) for batch in batches]
+        parts = [[c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches]
         if not parts:
             return
-        key, node, sketches, label = (np.concatenate(c) for c in zip(*parts))
-        order = np.argsort(key, kind="stable")
-        key, node, label = key[order], node[order], label[order]
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        sizes = np.diff(np.append(starts, len(key)))
-        two = starts[sizes == 2]
-        alike = (sketches[order[two], :SKETCH] == sketches[order[two + 1], :SKETCH]).sum(axis=1) >= STAGE_LEAST_EQUAL
-        pairs = [(node[two[alike]], node[two[alike] + 1])]
-        for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-            at = np.arange(s, s + n)
-            held = sketches[order[at]]
-            if n > STAGE_CHUNK:
-                line = np.lexsort((node[at], *held[:, :SKETCH].T[::-1]))
-                at, held = at[line], held[line]
-            pairs.append(pairs_of_run(node[at], held, label[at], node[at].min(), across))
-        yield pair_batch(*(np.concatenate(c) for c in zip(*pairs)))
-
-    def join_stretches(batches):
-        """Rows in order of key and sketch, with their group's head; a stretch of a group is what a batch holds."""
+        key, node, one, two = (np.concatenate(c) for c in zip(*parts))
+        del parts
+        one = one.view(np.uint64)
+        order = np.lexsort((node, gray_rank(one), key))
+        key, node, one, two = key[order], node[order], one[order], two[order].view(np.uint64)
+        bounds = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key))
+        a, b = likely_pairs(one, two, bounds)
+        yield pair_batch(node[a], node[b])
+
+    dealt = nodes.select("node", "sketch").mapInArrow(deal, "key bigint, node bigint, one bigint, two bigint")
+    return dealt_by_key(dealt, nodes, n_nodes).mapInArrow(join, "a bigint, b bigint").distinct()
+
+
+def partners(nodes: DataFrame, n_nodes: int) -> DataFrame:
+    """Pairs (a < b) of ``nodes`` (node, sketch, label, asks): the best partners of another label, by whole sketches,
+    of texts that ask, in every table of keys."""
+    key_bits, tables = stage_keys(n_nodes)
+
+    def deal(batches):
         for batch in batches:
-            key, node, sketches, label = loaded(batch.columns)
-            head = batch.column(4).to_numpy(zero_copy_only=False)
-            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            runs = zip(starts.tolist(), [*starts[1:].tolist(), len(key)])
-            pairs = [pairs_of_run(node[a:b], sketches[a:b], label[a:b], head[a], across) for a, b in runs]
-            yield pair_batch(*(np.concatenate(c) for c in zip(*pairs)))
-
-    schema, n_rows = "a bigint, b bigint", n_nodes * STAGE_BANDS
-    n_parts = max(partitions_for(nodes), n_rows // STAGE_ROWS)
-    if not across:
-        nodes = nodes.withColumn("label", F.col("node")).withColumn("fine", F.lit(b""))
-    dealt = nodes.select("node", "mins", "label", "fine").mapInArrow(deal, "key bigint, node bigint, sketch binary, label bigint")
-    limit = max(STAGE_HOT, n_rows // LARGE_LABELS)  # so that at most LARGE_LABELS keys are broadcast
-    hot = checkpoint(dealt.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter(F.col("n") > limit).select("key", "head"))
-    if hot.isEmpty():
-        return dealt.repartition(n_parts, "key").mapInArrow(join, schema).distinct()
-    marked = dealt.join(F.broadcast(hot), "key", "left").select("key", "node", "sketch", "label", "head")
-    found = marked.filter("head IS NULL").drop("head").repartition(n_parts, "key").mapInArrow(join, schema)
-    ranged = marked.filter("head IS NOT NULL").repartitionByRange(n_parts, "key", "sketch").sortWithinPartitions("key", "sketch")
-    return found.unionByName(ranged.mapInArrow(join_stretches, schema)).distinct()
+            for _, key in table_keys(sketches_of(batch.column(1)), key_bits, tables):
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], names=["key", "node", "sketch", "label", "asks"])
+
+    def join(batches):
+        parts = [(*(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 3, 4)), sketches_of(batch.column(2))) for batch in batches]
+        if not parts:
+            return
+        key, node, label, asks, sketches = (np.concatenate(c) for c in zip(*parts))
+        del parts
+        order = np.lexsort((node, key))
+        key = key[order]
+        bounds = np.append(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])), len(key)).tolist()
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for s, e in zip(bounds, bounds[1:]):
+            own = order[s:e]
+            a, b = pairs_across(sketches[own], label[own], asks[own])
+            left.append(node[own[a]])
+            right.append(node[own[b]])
+        yield pair_batch(np.concatenate(left), np.concatenate(right))
+
+    nodes = nodes.select("node", "sketch", "label", "asks")
+    dealt = nodes.mapInArrow(deal, "key bigint, node bigint, sketch binary, label bigint, asks boolean")
+    return dealt_by_key(dealt, nodes, n_nodes).mapInArrow(join, "a bigint, b bigint").distinct()
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -482,10 +548,10 @@ def settled_links(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataF
 
 
 def near_copy_labels(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle_words: int, similarity: float) -> DataFrame:
-    """(node, label) of the components of ``nodes`` (node, mins) that links of that similarity make.
+    """(node, label) of the components of ``nodes`` (node, sketch) that links of that similarity make.
 
-    Texts of groups in which not all pairs were taken ask again, for their best partners of other components by
-    more min-hashes, until a round finds no further link.
+    Crowded texts, of which not all pairs were taken, ask again for their best partners of other components by whole
+    sketches, until a round finds no further link.
     """
     found = checkpoint(candidates(nodes, n_nodes))
     tested = found.filter("a < b")
@@ -495,30 +561,22 @@ def near_copy_labels(docs: DataFrame, nodes: DataFrame, n_nodes: int, shingle_wo
     labels = components(links).withColumnRenamed("fp", "node")
     if crowded.isEmpty():
         return labels
-
-    def refine(batches):
-        for batch in batches:
-            mins = [min_hashes(np.frombuffer(h, np.uint64), STAGE_FINE).astype(np.uint8).tobytes() for h in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(mins, pa.binary())], names=["node", "mins", "fine"])
-
-    # a text that no pair asked for has no likely partner in any group, and so no set here
-    rows = nodes.select("node", "mins").join(crowded, "node", "left_semi").join(sets, "node")
-    fine = checkpoint(rows.mapInArrow(refine, "node bigint, mins binary, fine binary"))
-    open_ = fine.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).withColumn("asks", F.lit(True))
+    rows = nodes.select("node", "sketch").join(crowded, "node", "left_semi").join(labels, "node", "left")
+    open_ = checkpoint(rows.select("node", "sketch", F.coalesce("label", "node").alias("label"), F.lit(True).alias("asks")))
+    n_open = open_.count()
     while True:
-        asking = open_.withColumn("fine", F.concat("fine", F.when(F.col("asks"), F.lit(b"\x01")).otherwise(F.lit(b"\x00"))))
-        more = checkpoint(candidates(asking, n_nodes, True).filter("a < b").join(tested, ["a", "b"], "left_anti"))
+        more = checkpoint(partners(open_, n_open).join(tested, ["a", "b"], "left_anti"))
         further = settled_links(sets, more, similarity)
         if further.isEmpty():
             return labels
         tested, links = tested.unionByName(more), drawn_in(links.unionByName(further))
         labels = components(links).withColumnRenamed("fp", "node")
         # what joined a larger component has other partners than before, and asks again
-        was = open_.select("node", "mins", F.col("label").alias("was"), "fine").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        was = open_.select("node", "sketch", F.col("label").alias("was")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         parts = was.groupBy("label", "was").agg(F.count("*").alias("__n"))
         joined = parts.groupBy("label").agg(F.max_by("was", F.struct("__n", "was")).alias("largest")).select(F.col("label").alias("__label"), "largest")
         again = parts.join(joined, F.col("label") == F.col("__label")).filter("was <> largest").select("was", F.lit(True).alias("asks"))
-        open_ = checkpoint(was.join(again, "was", "left").select("node", "mins", "label", "fine", F.coalesce("asks", F.lit(False)).alias("asks")))
+        open_ = checkpoint(was.join(again, "was", "left").select("node", "sketch", "label", F.coalesce("asks", F.lit(False)).alias("asks")))
 
 
 def drawn_in(edges: DataFrame, rounds: int = 2) -> DataFrame:
@@ -586,25 +644,25 @@ def node_of(hashes: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, node, mins): the name of the text's set of shingles, and its min-hashes."""
+    """(doc_id, node, sketch): the name of the text's set of shingles, and the set's SimHashes."""
 
     def run(batches):
         for batch in in_slices(batches, 1):
             sets = [shingle_set(t, shingle_words) for t in batch.column(1).cast(pa.binary())]
-            mins = pa.array([min_hashes(h).tobytes() for h in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array([node_of(h) for h in sets], np.int64)), mins], names=["doc_id", "node", "mins"])
+            sketches = pa.array([sketch(h).tobytes() for h in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array([node_of(h) for h in sets], np.int64)), sketches], names=["doc_id", "node", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, node bigint, mins binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, node bigint, sketch binary")
 
 
 def first_of_groups(docs: DataFrame, shingle_words: int = STAGE_SHINGLE_WORDS, similarity: float = STAGE_SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, less all but the least id of every group of near copies.
 
-    Two texts link when the Jaccard similarity of their sets of shingles is ``similarity`` or more: min-hashes only
-    find the candidates (see ``candidates``; made for 0.8 and above), and the sets settle them.
+    Two texts link when the Jaccard similarity of their sets of shingles is ``similarity`` or more: SimHashes and the
+    Gray-order index find the candidates (see ``candidates``; made for 0.8 and above), and the sets settle them.
     """
     marks = checkpoint(signatures(docs, shingle_words))
-    nodes = checkpoint(marks.groupBy("node").agg(F.first("mins").alias("mins"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("least")))
+    nodes = checkpoint(marks.groupBy("node").agg(F.first("sketch").alias("sketch"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("least")))
     labels = near_copy_labels(docs, nodes, nodes.count(), shingle_words, similarity)
     kept = nodes.join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min(F.struct("least", "node")).alias("first"))
     kept = checkpoint(kept.select(F.col("first.least.doc_id").alias("__id"), F.col("first.node").alias("__node")))

@@ -114,6 +114,55 @@ def test_first_of_groups(spark):
     assert got.count() == 3
 
 
+def test_sketch_is_simhash():
+    """The stage's fingerprints are majorities of the shingles' hashes, and sets alike at 0.8 differ in few bits, however small."""
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    votes = simhash.mix64(hashes[:, None] ^ simhash._SALTS).reshape(-1, simhash.STAGE_WORDS)
+    want = [sum(1 << b for b in range(64) if (votes[:, w] >> np.uint64(b) & np.uint64(1)).sum() * 2 > len(votes)) for w in range(simhash.STAGE_WORDS)]
+    assert simhash.sketch(hashes).tolist() == want
+    assert not simhash.sketch(hashes[:0]).any()
+    for both, only in ((4, 1), (12, 3), (80, 20)):
+        bits = [int(np.bitwise_count(simhash.sketch(h[:both]) ^ simhash.sketch(h)).sum()) for h in rng.integers(0, 2**64, (50, both + only), dtype=np.uint64)]
+        assert np.mean(bits) < simhash.STAGE_DIFFERS * 64 * simhash.STAGE_WORDS and max(bits) <= simhash.STAGE_MOST_SKETCH_BITS
+
+
+def test_near_pairs_of_the_index():
+    """The Gray-order index of the near-copy stage gives the pairs that a comparison of all pairs gives."""
+    rng = np.random.default_rng(5)
+    n = 1200
+    fps, more = rng.integers(0, 2**64, (2, n), dtype=np.uint64)
+    fps[::3] = fps[0] ^ np.bitwise_and.reduce(rng.integers(0, 2**64, (3, n // 3), dtype=np.uint64))
+    more[::2] = more[0]
+    key = np.sort(rng.integers(0, 7, n))
+    order = np.lexsort((simhash.gray_rank(fps), key))
+    fps, more = fps[order], more[order]
+    bounds = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), n)
+    got = {(i, j, b) for x in simhash.near_pairs(fps, more, bounds, 17, 26) for i, j, b in zip(*(c.tolist() for c in x))}
+    first = np.bitwise_count(fps[:, None] ^ fps).astype(int)
+    both = first + np.bitwise_count(more[:, None] ^ more)
+    i, j = np.nonzero(np.triu((first <= 17) & (both <= 26) & (key[:, None] == key), 1))
+    assert len(i) > 1000 and got == set(zip(i.tolist(), j.tolist(), both[i, j].tolist()))
+
+
+def test_candidates_meet_by_simhashes(spark, monkeypatch):
+    """Pairs at 0.8 are found by keys of any length, and where a key's rows are cut into parts that meet two by two."""
+    rng = np.random.default_rng(6)
+    rows, want = [], set()
+    for k in range(150):
+        h = rng.integers(0, 2**64, 90, dtype=np.uint64)
+        for side, own in enumerate((h[:80], np.append(h[:70], h[80:]))[: 1 + (k < 100)]):
+            rows.append((2 * k + side, bytearray(simhash.sketch(np.sort(own)).tobytes())))
+        if k < 100:
+            want.add((2 * k, 2 * k + 1))
+    nodes = spark.createDataFrame(rows, "node long, sketch binary")
+    for group, hot in ((4096, 16_384), (1, 16_384), (4096, 2)):
+        monkeypatch.setattr(simhash, "STAGE_GROUP", group)
+        monkeypatch.setattr(simhash, "STAGE_HOT", hot)
+        monkeypatch.setattr(simhash, "STAGE_KEY_BITS", 8 if group > 1 else 4)
+        assert want <= {(r.a, r.b) for r in simhash.candidates(nodes, len(rows)).collect()}
+
+
 def test_decontamination(spark):
     item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
     bench = spark.createDataFrame([(1, item), (2, "short item"), (3, None), (10, item)], "item_id long, text string")
